@@ -1,0 +1,46 @@
+"""Left join of rows with a table of one row per key, for keys that may hold a large share of all rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from skyair.operators.ranking import spread
+
+HOT_KEYS = 1000
+HOT_SPREAD = 4096
+
+_SALT = "__salt"
+
+
+def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], value: str, rows: str) -> DataFrame:
+    """Add column ``value`` of ``table`` to every row of ``df``; null keys match, no match gives null.
+
+    ``table`` holds the columns ``keys`` (unique together), ``value`` and ``rows``, the number of rows
+    the key has in ``df``. Every row meets its key's value in one shuffle. So that a hot key does not
+    end in one task, the keys with most rows, at most HOT_KEYS of them with one row each, are broadcast:
+    their rows enter the shuffle with the value already found and are spread over it by a salt. Any
+    other key holds less than 1/HOT_KEYS of all rows.
+    """
+    # Reading the count on both sides (it is never 0) lets them share the aggregation behind ``table``.
+    table = table.filter(F.col(rows) > 0)
+    names = [f"__key_{i}" for i in range(len(keys))]
+
+    def renamed(frame: DataFrame, value_name: str) -> DataFrame:
+        return frame.select(*(F.col(k).alias(n) for k, n in zip(keys, names)), F.col(value).alias(value_name))
+
+    def same_key(left: DataFrame, right: DataFrame):
+        condition = F.lit(True)
+        for key, name in zip(keys, names):
+            condition = condition & left[key].eqNullSafe(right[name])
+        return condition
+
+    hot = renamed(table.orderBy(F.col(rows).desc(), *keys).limit(HOT_KEYS), "__hot").withColumn("__is_hot", F.lit(True))
+    marked = df.join(F.broadcast(hot), same_key(df, hot), "left").drop(*names)
+    marked = marked.withColumn(_SALT, F.when(F.col("__is_hot"), spread(HOT_SPREAD) + 1).otherwise(0))
+    rest = renamed(table, "__own").withColumn("__unsalted", F.lit(0))
+    joined = marked.join(rest, same_key(marked, rest) & (marked[_SALT] == rest["__unsalted"]), "left")
+    found = F.when(F.col("__is_hot"), F.col("__hot")).otherwise(F.col("__own"))
+    return joined.select(*df.columns, found.alias(value))
