@@ -48,8 +48,12 @@ def parse_utc(text: Column) -> Column:
 
 
 def days_before(time: Column, days: int) -> Column:
-    """P5: ``days`` days earlier, on the full second (the form a request start time has)."""
-    return F.date_trunc("second", time - F.make_dt_interval(F.lit(days)))
+    """P5: ``days`` days earlier, on the full second (the form a request start time has).
+
+    The fraction is subtracted rather than truncated away, which keeps the kind of timestamp.
+    """
+    fraction = F.pmod(F.extract(F.lit("SECOND"), time), F.lit(1).cast("decimal(1,0)"))
+    return time - F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), fraction)
 
 
 def format_utc(df: DataFrame, name: str) -> Column:

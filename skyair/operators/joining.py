@@ -1,8 +1,6 @@
 """Joins: full outer by shared keys, enrichment, bounding boxes, country names.
 
-Enrichment and boxes carry no broadcast hint: Spark broadcasts a side it has measured to be small and
-otherwise sort-merges, where adaptive execution splits skewed partitions. That splitting needs both
-sides to come straight from the join's shuffle, so neither side is aggregated beforehand.
+The dimension side of J2-J4 is usually small but not known to be: see ``skew.measured_join``.
 """
 
 from __future__ import annotations
@@ -12,11 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyair.operators.lookup import lookup
+from skyair.operators.skew import measured_join
 from skyair.schemas import BOXES
 
-BROADCAST_ROWS = 100_000
-
 
 def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join with the key columns of both sides merged. Null keys never match."""
@@ -25,7 +21,7 @@ def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
 
 def enrich(readings: DataFrame, sensors: DataFrame, on: str = "sensor_id") -> DataFrame:
     """Attach sensor and location metadata; readings of unknown sensors are dropped."""
-    return readings.join(sensors, on, "inner")
+    return measured_join(readings, sensors, [on])
 
 
 def parse_boxes(spark: SparkSession, text: str) -> DataFrame:
@@ -65,24 +61,19 @@ def tag_regions(
     inside = F.col(latitude).between(F.col("lamin"), F.col("lamax")) & F.col(longitude).between(
         F.col("lomin"), F.col("lomax")
     )
-    return placed.join(cells, ["__lat", "__lon"]).filter(inside).select("region", *points.columns)
+    return measured_join(placed, cells, ["__lat", "__lon"]).filter(inside).select("region", *points.columns)
 
 
 def conform_country(df: DataFrame, mapping: DataFrame, country: str = "country") -> DataFrame:
     """Replace country names by the form given in ``mapping`` (alias, country).
 
     Unmapped values pass through. An alias listed twice takes its smallest country, so rows never
-    multiply. The mapping is broadcast only after counting it; a longer one is resolved per distinct
-    country first and then looked up, safely for a country that holds a large share of all rows.
+    multiply.
     """
-    resolved = F.coalesce("__conformed", F.col(country)).alias(country)
-    columns = [resolved if name == country else F.col(name) for name in df.columns]
-    unique = mapping.groupBy(F.col("alias").alias("__alias")).agg(F.min("country").alias("__conformed"))
-    if mapping.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return df.join(F.broadcast(unique), df[country] == unique["__alias"], "left").select(*columns)
-    counts = df.groupBy(country).agg(F.count(F.lit(1)).alias("__rows"))
-    table = counts.join(unique, counts[country] == unique["__alias"], "left")
-    return lookup(df, table, [country], "__conformed", "__rows").select(*columns)
+    unique = mapping.groupBy(F.col("alias").alias(country)).agg(F.min("country").alias("__conformed"))
+    joined = measured_join(df, unique, [country], "left")
+    conformed = F.coalesce("__conformed", F.col(country)).alias(country)
+    return joined.select(*(conformed if name == country else F.col(name) for name in df.columns))
 
 
 def unmapped_countries(df: DataFrame, mapping: DataFrame, country: str = "country") -> DataFrame:

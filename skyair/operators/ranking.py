@@ -20,7 +20,7 @@ _SALT = "__salt"
 _PRUNING_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def spread(salts: int) -> Column:
+def spread(salts: Column | int) -> Column:
     """Salt taken from the input partition, so a task that is run again salts its rows as before."""
     return F.pmod(F.spark_partition_id(), F.lit(salts))
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyair.functions.times import days_before
-from skyair.operators.lookup import lookup
 from skyair.operators.ranking import newest_first, top_per_key
+from skyair.operators.skew import hot_keys, salted_join
 
 _LAST = "__last"
 _ROWS = "__rows"
@@ -23,11 +23,13 @@ def latest(df: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str
 def backfill_window(df: DataFrame, keys: Sequence[str], time: str, days: int) -> DataFrame:
     """Rows at most ``days`` days older than the last row *of their own key*, bound included.
 
-    The last time per key combines on the map side; it is brought back to the rows by ``lookup``, as a
-    window over the key would put a hot key's whole history into one task.
+    The last time per key combines on the map side and is joined back with hot keys split: a window over
+    the key would put a hot key's whole history into one task.
     """
     per_key = df.groupBy(*keys).agg(F.max(time).alias(_LAST), F.count(F.lit(1)).alias(_ROWS))
-    anchored = lookup(df, per_key, keys, _LAST, _ROWS)
+    # True for every key. With the count in use here too, both uses of ``per_key`` share one aggregation.
+    anchors = per_key.filter(F.col(_ROWS) > 0).drop(_ROWS)
+    anchored = salted_join(df, anchors, keys, hot_keys(per_key, keys, _ROWS), "left", null_safe=True)
     return anchored.filter(F.col(time) >= days_before(F.col(_LAST), days)).drop(_LAST)
 
 
@@ -77,10 +79,14 @@ def active_locations(
 ) -> DataFrame:
     """Per country the ``k`` most recently reporting locations that have a target sensor.
 
-    Input has one row per location and sensor; output is (country, location, last). A location that
-    never reported sorts last; equal times go to the smaller id.
+    Input has one row per location and sensor, each with the location's last time; output is (country,
+    location, last). A location that never reported sorts last; equal times go to the smaller id.
     """
     candidates = sensors.filter(F.col(parameter).isin(*targets))
+    return _most_recent(candidates, k, country, location, last)
+
+
+def _most_recent(candidates: DataFrame, k: int, country: str, location: str, last: str) -> DataFrame:
     locations = candidates.groupBy(country, location).agg(F.max(last).alias(last))
     return top_per_key(locations, [country], _by_recency(last, location), k)
 
@@ -102,9 +108,9 @@ def covering_locations(
     frees a place. Both lists are small; the flag ``adds_parameter`` tells them apart.
     """
     candidates = sensors.filter(F.col(parameter).isin(*targets))
-    carried = candidates.groupBy(country, parameter, location).agg(F.max(last).alias(last))
+    carried = candidates.groupBy(country, location, parameter).agg(F.max(last).alias(last))
     pioneers = top_per_key(carried, [country, parameter], _by_recency(last, location))
-    recent = active_locations(sensors, targets, k, country, location, parameter, last)
+    recent = _most_recent(carried, k, country, location, last)
     listed = pioneers.select(country, location, last, F.lit(True).alias("adds_parameter")).union(
         recent.select(country, location, last, F.lit(False))
     )

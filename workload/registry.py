@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyair.functions.times import utc_wall
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -15,11 +17,11 @@ ORACLES: dict[str, str] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Dates and timestamps as text, so that two engines' results compare by value."""
+    """Dates and timestamps as text in UTC, so that two engines' results compare by value."""
     timed = (T.DateType, T.TimestampType, T.TimestampNTZType)
     return df.select(
         *(
-            F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, timed) else F.col(f.name)
+            utc_wall(df, f.name).cast("string").alias(f.name) if isinstance(f.dataType, timed) else F.col(f.name)
             for f in df.schema.fields
         )
     )

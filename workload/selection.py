@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skyair.operators.joining import enrich
 from skyair.operators.selection import (
     active_locations,
     backfill_from,
@@ -46,17 +47,16 @@ def w2(spark, sf_dir):
 @query(
     "w2_backfill_from_metadata",
     """
-    SELECT l_orderkey, l_linenumber, o_orderkey, CAST(l_shipdate AS VARCHAR) AS l_shipdate
+    SELECT l_orderkey, l_linenumber, o_custkey, CAST(l_shipdate AS VARCHAR) AS l_shipdate
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     WHERE l_shipdate >= o_orderdate - INTERVAL 7 DAY
     """,
 )
 def w2_metadata(spark, sf_dir):
-    joined = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey")
+    joined = enrich(table(spark, sf_dir, "lineitem"), orders, "l_orderkey")
     rows = backfill_from(joined, "l_shipdate", "o_orderdate", 7)
-    return rows.select("l_orderkey", "l_linenumber", "o_orderkey", "l_shipdate")
+    return rows.select("l_orderkey", "l_linenumber", "o_custkey", "l_shipdate")
 
 
 @query(

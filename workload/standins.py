@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyair.functions.times import as_instant
+from skyair.operators.joining import enrich
 
 POLLUTANTS = {"avg_pm25": "AF", "avg_pm10": "NO", "avg_no2": "RO", "avg_o3": "RF"}
 PARAMETERS = ("AF", "AO", "NF", "NO", "RF", "RO", "XX")
@@ -17,10 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as readings: the supplier is the location, flag and status are the parameter."""
-    items = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
+    places = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
-    placed = items.join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    placed = enrich(table(spark, sf_dir, "lineitem"), places.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
     return placed.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sensor_id"),
         F.col("l_shipdate").alias("period__datetime_from__utc"),
@@ -67,10 +68,10 @@ gappy AS (
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as state records: the customer is the aircraft."""
-    orders = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    owners = table(spark, sf_dir, "customer").join(
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    placed = orders.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    placed = enrich(table(spark, sf_dir, "orders"), owners.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
     return placed.select(
         F.col("c_mktsegment").alias("region"),
         F.col("o_custkey").cast("string").alias("icao24"),
