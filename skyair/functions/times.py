@@ -32,9 +32,12 @@ def utc_day(df: DataFrame, name: str) -> Column:
 
 def as_instant(df: DataFrame, name: str) -> Column:
     """A zoned timestamp; a zone-less one is read as UTC (watermarks need the zoned kind)."""
+    time = F.col(_quoted(name))
     if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        return F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {_EPOCH}, {_quoted(name)}))")
-    return F.col(_quoted(name))
+        # Built from its parts, because a difference of two such times still goes through the session zone.
+        parts = (F.extract(F.lit(part), time) for part in ("YEAR", "MONTH", "DAY", "HOUR", "MINUTE", "SECOND"))
+        return F.make_timestamp_ltz(*parts, F.lit("UTC"))
+    return time
 
 
 def from_epoch(seconds: Column) -> Column:
@@ -47,11 +50,15 @@ def parse_utc(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
-def days_before(time: Column, days: int) -> Column:
-    """P5: ``days`` days earlier, on the full second (the form a request start time has).
+def days_before(df: DataFrame, name: str, days: int) -> Column:
+    """P5: ``days`` days of 24 hours before a timestamp column, on the full second.
 
-    The fraction is subtracted rather than truncated away, which keeps the kind of timestamp.
+    A request start time has that form. Subtracting an interval from a zoned timestamp would count
+    calendar days of the session zone, so its seconds are counted instead.
     """
+    time = F.col(_quoted(name))
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.timestamp_seconds(F.unix_seconds(time) - days * 86400)
     fraction = F.pmod(F.extract(F.lit("SECOND"), time), F.lit(1).cast("decimal(1,0)"))
     return time - F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), fraction)
 

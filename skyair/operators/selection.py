@@ -30,12 +30,12 @@ def backfill_window(df: DataFrame, keys: Sequence[str], time: str, days: int) ->
     # True for every key. With the count in use here too, both uses of ``per_key`` share one aggregation.
     anchors = per_key.filter(F.col(_ROWS) > 0).drop(_ROWS)
     anchored = salted_join(df, anchors, keys, hot_keys(per_key, keys, _ROWS), "left", null_safe=True)
-    return anchored.filter(F.col(time) >= days_before(F.col(_LAST), days)).drop(_LAST)
+    return anchored.filter(F.col(time) >= days_before(anchored, _LAST, days)).drop(_LAST)
 
 
 def backfill_from(df: DataFrame, time: str, last_seen: str, days: int) -> DataFrame:
     """W2 where each row already carries its sensor's last-seen time (from metadata): a plain filter."""
-    return df.filter(F.col(time) >= days_before(F.col(last_seen), days))
+    return df.filter(F.col(time) >= days_before(df, last_seen, days))
 
 
 def newest_rows(
@@ -60,8 +60,8 @@ def backfill_tail(
     if not n:
         return backfill_window(df, keys, time, days)
     capped = newest_rows(df, keys, time, n, tiebreak)
-    last = F.max(time).over(Window.partitionBy(*keys))
-    return capped.withColumn(_LAST, last).filter(F.col(time) >= days_before(F.col(_LAST), days)).drop(_LAST)
+    capped = capped.withColumn(_LAST, F.max(time).over(Window.partitionBy(*keys)))
+    return capped.filter(F.col(time) >= days_before(capped, _LAST, days)).drop(_LAST)
 
 
 def _by_recency(last: str, location: str):

@@ -90,13 +90,13 @@ def p4(spark, sf_dir):
 )
 def p5(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    text = format_utc(orders, "o_orderdate")
-    again = parse_utc(text)
-    spoiled = F.when(F.col("o_orderstatus") == "P", F.lit("soon")).otherwise(text)
-    return orders.select(
+    shown = orders.withColumn("shown", format_utc(orders, "o_orderdate"))
+    again = shown.withColumn("again", parse_utc(F.col("shown")))
+    spoiled = F.when(F.col("o_orderstatus") == "P", F.lit("soon")).otherwise(F.col("shown"))
+    return again.select(
         "o_orderkey",
-        text.alias("shown"),
-        days_before(again, 7).alias("week_before"),
+        "shown",
+        days_before(again, "again", 7).alias("week_before"),
         parse_utc(spoiled).isNotNull().alias("readable"),
     )
 

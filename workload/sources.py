@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from skyair.functions.times import as_instant
 from skyair.plans.medallion import build
 from skyair.plans.models import Model, build_models
 from skyair.schemas import FLIGHTS as FLIGHTS_SCHEMA
@@ -175,7 +176,8 @@ def s4(spark, sf_dir):
     """
     lake = shared_folder(spark, "lake")
     bronze = flights(spark, sf_dir)
-    stamped = bronze.withColumn("ingested_at", F.expr("observed_at + make_dt_interval(0, 0, 0, baro_altitude / 1000)"))
+    bronze = bronze.withColumn("observed_at", as_instant(bronze, "observed_at"))
+    stamped = bronze.withColumn("ingested_at", F.timestamp_millis(F.col("baro_altitude").cast("bigint")))
     write_json_batch(stamped.select(*FLIGHTS_SCHEMA.names), f"{lake}/bronze/flights")
     prefix = _prefix()
     save = _table_saver(spark, prefix)
