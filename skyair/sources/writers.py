@@ -21,9 +21,14 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     With ``partition_by`` the rows are rebalanced on those columns: each value lands in few files of
     fair size, and a value with many rows is split over several tasks.
     """
-    rows = df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    rows = df.hint("rebalance", *map(F.col, partition_by)).write.mode("overwrite").partitionBy(*partition_by)
+    rows.option("partitionOverwriteMode", "static").parquet(path)
+    if df.sparkSession.read.schema(df.schema).parquet(path).isEmpty():
+        # A partitioned write of no rows leaves no file, so nothing that could be read as a table.
+        df.limit(0).write.mode("overwrite").parquet(path)
 
 
 def load_table(df: DataFrame, table: str, format: str = "parquet", options: Mapping[str, str] | None = None) -> None:

@@ -1,0 +1,165 @@
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from tests.helpers import at, tuples
+
+from skyair.schemas import READINGS_VARIANT
+from skyair.sources import scratch, topics
+from skyair.sources.readers import CORRUPT, optional, read_json_lines, read_parquet_files, split_corrupt
+from skyair.sources.writers import append_load, load_table, write_json_batch, write_snapshot
+
+
+def write_text(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
+def test_json_lines(spark, tmp_path):
+    good = '{"sensor_id": 1, "value": null, "datetime_from_utc": "2026-01-01T00:00:00Z", "unit": "ppm"}'
+    write_text(tmp_path / "b" / "1.jsonl", f"{good}\n\n   \n")
+    write_text(tmp_path / "b" / "2.jsonl", '{"sensor_id": 2, "value": 1.5}\n{"sensor_id": "two"}\n{"sensor_id": 3,\n')
+    df = read_json_lines(spark, str(tmp_path / "b"), READINGS_VARIANT)
+    rows, rejected = split_corrupt(df)
+    assert rows.columns == READINGS_VARIANT.names
+    assert tuples(rows, "sensor_id", "value", "datetime_from_utc") == [
+        (1, None, "2026-01-01T00:00:00Z"),
+        (2, 1.5, None),
+    ]
+    assert (rows.count(), rejected.count()) == (2, 2)
+    assert tuples(rejected, CORRUPT) == [('{"sensor_id": "two"}',), ('{"sensor_id": 3,',)]
+
+
+def test_column_that_is_all_null_keeps_its_type(spark, tmp_path):
+    write_text(tmp_path / "b" / "1.jsonl", '{"value": null}\n{"value": null}\n')
+    assert read_json_lines(spark, str(tmp_path / "b"), READINGS_VARIANT).schema["value"].dataType.typeName() == "double"
+
+
+def test_parquet_files_only(spark, tmp_path):
+    folder = str(tmp_path / "p")
+    spark.range(5).write.parquet(folder)
+    spark.range(5, 8).write.mode("append").parquet(folder)
+    write_text(Path(folder) / "notes.txt", "not parquet")
+    assert read_parquet_files(spark, folder).count() == 8
+    assert read_parquet_files(spark, folder, spark.range(1).schema).count() == 8
+
+
+def test_optional_source(spark, tmp_path):
+    missing = str(tmp_path / "none")
+    assert optional(lambda: read_parquet_files(spark, missing)) is None
+    assert optional(lambda: read_json_lines(spark, missing, READINGS_VARIANT)) is None
+    (tmp_path / "empty").mkdir()
+    assert optional(lambda: read_parquet_files(spark, str(tmp_path / "empty"))) is None
+    assert optional(lambda: spark.range(3)).count() == 3
+    with pytest.raises(AnalysisException):
+        optional(lambda: spark.range(3)).select("no_such_column")
+
+
+@pytest.mark.parametrize("partition_by", [[], ["day"]])
+def test_snapshot_leaves_nothing_stale(spark, tmp_path, partition_by):
+    folder = str(tmp_path / "s")
+    df = spark.range(100).withColumn("day", F.col("id") % 4)
+    write_snapshot(df.repartition(7), folder, partition_by)
+    write_snapshot(df.filter("day < 2"), folder, partition_by)
+    assert read_parquet_files(spark, folder).count() == 50
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_snapshot(df.filter("day = 3"), folder, partition_by)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert tuples(read_parquet_files(spark, folder).select("day").distinct()) == [(3,)]
+    write_snapshot(df.limit(0), folder)
+    assert read_parquet_files(spark, folder).count() == 0
+
+
+def test_table_is_replaced(spark):
+    load_table(spark.range(10), "replaced")
+    load_table(spark.range(3).withColumn("more", F.lit(1)), "replaced")
+    assert spark.table("replaced").columns == ["id", "more"] and spark.table("replaced").count() == 3
+
+
+def test_append_load_stamps_rows(spark, tmp_path):
+    folder = str(tmp_path / "bronze")
+    append_load(spark.range(10), folder, "2026-01-01")
+    append_load(spark.range(10), folder, "2026-01-02")
+    df = read_parquet_files(spark, folder)
+    assert (df.count(), df.select("_row_id").distinct().count()) == (20, 20)
+    assert tuples(df.groupBy("_load_id").count()) == [("2026-01-01", 10), ("2026-01-02", 10)]
+
+
+def test_json_batch_writes_nothing_if_empty(spark, tmp_path):
+    folder = tmp_path / "json"
+    assert write_json_batch(spark.range(0), str(folder)) is False
+    assert not folder.exists()
+    moment = spark.sql("SELECT timestamp'2026-01-01 00:00:00.123456Z' AS z, timestamp_ntz'2026-01-01 00:00:00.654321' AS n")
+    assert write_json_batch(moment, str(folder)) is True
+    assert tuple(spark.read.schema(moment.schema).json(str(folder)).first()) == (
+        at("2026-01-01T00:00:00.123456"),
+        at("2026-01-01T00:00:00.654321"),
+    )
+
+
+def test_topic_values_round_trip(spark):
+    rows = [(1, None, at("2026-01-01T00:00:00.000001"), ["a"]), (2, 0.1, None, None)]
+    df = spark.createDataFrame(rows, "id bigint, v double, t timestamp, items array<string>")
+    values = topics.encode(df)
+    assert '"v":null' in values.first().value
+    assert tuples(topics.decode(values, df.schema)) == tuples(df)
+    assert tuples(topics.decode(spark.createDataFrame([("{oops",)], "value string"), df.schema)) == [(None,) * 4]
+
+
+class Recorder:
+    """Stands in for a session or a writer and notes what it is asked."""
+
+    def __init__(self):
+        self.asked = {}
+
+    def __getattr__(self, name):
+        return self
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def options(self, **options):
+        self.asked.update(options)
+        return self
+
+    def __call__(self, *args, **kwargs):
+        return self
+
+
+def test_topic_source_options(spark):
+    session = Recorder()
+    topics.read_topic(session, "broker:9092", "states", min_records=10)
+    assert session.asked == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "states",
+        "startingOffsets": "earliest",
+        "minOffsetsPerTrigger": "10",
+        "maxTriggerDelay": "30s",
+    }
+    assert topics.source_options("b", "t")["minOffsetsPerTrigger"] == "500"
+    with pytest.raises(AnalysisException, match="kafka"):
+        topics.read_topic(spark, "broker:9092", "states")
+
+
+def test_shared_folder(spark, tmp_path, monkeypatch):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch.shared_folder(spark, "x"), scratch.shared_folder(spark, "x")
+    assert first.startswith(f"{root}/x-") and first != second
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:
+            master = "spark://far-away:7077"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(Session, "x")
+    Session.sparkContext.master = "local[2]"
+    monkeypatch.setattr(scratch.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    assert scratch.shared_folder(Session, "x").startswith(str(tmp_path))
