@@ -18,7 +18,7 @@ BROADCAST_ROWS = 100_000
 # A key is hot from this many rows on; at most HOT_KEYS of them are split, the largest first, so any
 # other key holds less than 1/HOT_KEYS of all rows.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
+HOT_KEYS = 10_000
 MAX_SALTS = 4_096
 
 _SALT = "__salt"

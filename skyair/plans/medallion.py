@@ -95,9 +95,10 @@ def refine(
     return written
 
 
-def audit_source(spark: SparkSession, lake: str, source: Source) -> DataFrame:
-    """Row counts of each cleaning step over a source's bronze."""
-    return audit(source.read(spark, f"{lake}/bronze/{source.name}"), **source.rules())
+def audit_source(spark: SparkSession, lake: str, source: Source) -> DataFrame | None:
+    """Row counts of each cleaning step over a source's bronze (C7); None if there is none to read."""
+    bronze = optional(lambda: source.read(spark, f"{lake}/bronze/{source.name}"), source.name)
+    return None if bronze is None else audit(bronze, **source.rules())
 
 
 def load_silver(
@@ -128,9 +129,10 @@ def build(
     groups: Collection[str] = GROUPS,
     save: Callable[[DataFrame, str], None] = load_table,
     by_day: bool = True,
+    validate_first: bool = False,
 ) -> list[str]:
     """Bronze to marts for the chosen sources; returns the names of the marts built."""
-    refine(spark, lake, names, by_day=by_day)
+    refine(spark, lake, names, validate_first, by_day)
     tables = load_silver(spark, lake, names, save)
     staging = {f"staging_{source}": spark.table(table) for source, table in tables.items()}
     return build_models(spark, staging, save, groups)

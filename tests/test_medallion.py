@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.helpers import at, tuples
 
+from skyair.__main__ import run
 from skyair.plans.medallion import FLIGHTS, READINGS, audit_source, build, load_silver, refine
 from skyair.plans.models import MODELS
 from skyair.schemas import FLIGHTS as FLIGHTS_SCHEMA
@@ -102,3 +103,16 @@ def test_validating_first_keeps_the_good_copy(spark, lake):
     assert spark.table("readings_processed").count() == 0
     refine(spark, lake, validate_first=True)
     assert spark.read.parquet(f"{lake}/silver/readings").count() == 1
+
+
+def test_command_line(spark, lake, capsys):
+    bronze_readings(spark, lake)
+    run(spark, ["build", lake, "--sources", "readings", "--groups", "batch", "--no-days"])
+    run(spark, ["audit", lake, "--sources", "readings"])
+    run(spark, ["check", lake])
+    out = capsys.readouterr().out
+    assert "built: daily_summary polluted_days" in out
+    assert "|          5|               4|               3|               2|" in out
+    assert "|non_negative|value      |0       |true  |" in out
+    with pytest.raises(SystemExit):
+        run(spark, ["build", lake, "--sources", "weather"])
