@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from skyair.operators.joining import tag_regions
 from skyair.operators.shaping import parse_payloads, states_of
 from skyair.schemas import FLUSH_SECONDS
 from skyair.sources.writers import JSON_OPTIONS
@@ -44,17 +45,20 @@ def land_states(
     checkpoint: str,
     payload: str = "value",
     keep: tuple[str, ...] = (),
+    boxes: DataFrame | None = None,
     seconds: int | None = FLUSH_SECONDS,
 ) -> StreamingQuery:
     """T4: state records to ``path``; payloads that do not parse to ``quarantine``; the stream lives on.
 
-    Each batch writes its own folder ``batch_id=N`` and replaces it when replayed, so a batch repeated
+    With ``boxes`` the records are tagged with their regions, as in ``states.parse_states``. Each batch writes its own folder ``batch_id=N`` and replaces it when replayed, so a batch repeated
     after a failure leaves no duplicates. Read either folder as one table.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_payloads(batch, payload).persist(StorageLevel.MEMORY_AND_DISK)
         good = states_of(parsed.filter("well_formed"), keep)
+        if boxes is not None:
+            good = tag_regions(good, boxes)
         bad = parsed.filter("NOT well_formed").drop("parsed", "well_formed")
         good.write.mode("overwrite").options(**JSON_OPTIONS).json(f"{path}/batch_id={batch_id}")
         bad.write.mode("overwrite").json(f"{quarantine}/batch_id={batch_id}")

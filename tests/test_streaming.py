@@ -10,6 +10,7 @@ from skyair.functions.predicates import valid_reading
 from skyair.operators.cleaning import clean
 from skyair.operators.joining import parse_boxes
 from skyair.operators.selection import latest
+from skyair.plans.medallion import refine
 from skyair.schemas import FLIGHTS
 from skyair.streaming.incremental import clean_stream, latest_stream, maintain_latest, read_latest
 from skyair.streaming.landing import land, land_states
@@ -97,6 +98,23 @@ def test_bad_payloads_are_set_aside_and_the_stream_goes_on(spark, feed, paths):
     ]
 
 
+def test_from_payload_stream_to_silver(spark, feed, paths):
+    source = feed("value string")
+    source.add([(payload(10, "a", "b", "c"),), (payload(10, "a"),)])
+    source.add([(payload(20, "a"),)])
+    boxes = parse_boxes(spark, "zero,0,0,1,1|wide,0,0,3,3")
+    lake = paths("lake")
+    run(land_states(source.stream(), f"{lake}/bronze/flights", paths("bad"), paths("cp"), boxes=boxes, seconds=None))
+    assert spark.read.schema(FLIGHTS).json(f"{lake}/bronze/flights").select(*FLIGHTS.names).count() == 7
+    assert refine(spark, lake, ["flights"]) == ["flights"]
+    silver = spark.read.parquet(f"{lake}/silver/flights")
+    assert tuples(silver, "region", "icao24", F.unix_seconds("observed_at")) == [
+        ("wide", "b", 10),
+        ("zero", "a", 10),
+        ("zero", "a", 20),
+    ]
+
+
 KEYS = ["icao24", "observed_at"]
 
 
