@@ -6,11 +6,13 @@ from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyair import schemas
 from skyair.functions.predicates import valid_position, valid_reading
-from skyair.functions.times import utc_day
+from skyair.functions.times import parse_utc, utc_day
 from skyair.operators.cleaning import audit, clean
+from skyair.operators.quality import column_checks
 from skyair.plans.models import GROUPS, build_models
 from skyair.sources.readers import optional, read_json_lines, read_parquet_files
 from skyair.sources.writers import load_table, write_snapshot
@@ -29,9 +31,17 @@ class Source:
     valid: Callable[[], Column]
     newest: tuple[str, ...]
     time: str
+    keep_first: bool = False
+    checks: tuple[tuple[str, str], ...] = ()
 
     def rules(self) -> dict:
-        return {"keys": self.keys, "required": self.required, "valid": self.valid(), "newest": self.newest}
+        return {
+            "keys": self.keys,
+            "required": self.required,
+            "valid": self.valid(),
+            "newest": self.newest,
+            "keep_first": self.keep_first,
+        }
 
 
 def _read_flights(spark: SparkSession, path: str) -> DataFrame:
@@ -39,6 +49,16 @@ def _read_flights(spark: SparkSession, path: str) -> DataFrame:
     return read_json_lines(spark, path, schemas.FLIGHTS).select(*schemas.FLIGHTS.names)
 
 
+def _read_readings_variant(spark: SparkSession, path: str) -> DataFrame:
+    # Files are named by the time they were written, so the file name is the order of arrival.
+    lines = read_json_lines(spark, path, schemas.READINGS_VARIANT)
+    time = parse_utc(F.col("datetime_from_utc"))
+    return lines.select(
+        *(time.alias(name) if name == "datetime_from_utc" else name for name in schemas.READINGS_VARIANT.names),
+        F.col("_metadata.file_name").alias("source_file"),
+    )
+
+
 READINGS = Source(
     "readings",
     read_parquet_files,
@@ -47,6 +67,19 @@ READINGS = Source(
     valid_reading,
     ("_load_id",),
     "period__datetime_from__utc",
+    checks=schemas.READINGS_CHECKS,
+)
+# The small, self-contained form: JSON-lines, the first copy to arrive is kept, another required set.
+READINGS_VARIANT = Source(
+    "readings_variant",
+    _read_readings_variant,
+    schemas.READINGS_VARIANT_KEYS,
+    schemas.READINGS_VARIANT_REQUIRED,
+    valid_reading,
+    ("source_file",),
+    "datetime_from_utc",
+    keep_first=True,
+    checks=schemas.READINGS_CHECKS,
 )
 FLIGHTS = Source(
     "flights",
@@ -57,7 +90,7 @@ FLIGHTS = Source(
     ("ingested_at",),
     "observed_at",
 )
-SOURCES = (READINGS, FLIGHTS)
+SOURCES = (READINGS, FLIGHTS, READINGS_VARIANT)
 
 
 def _chosen(names: Collection[str] | None, sources: Collection[Source]) -> list[Source]:
@@ -122,6 +155,11 @@ def load_silver(
     return loaded
 
 
+def check_source(spark: SparkSession, source: Source) -> DataFrame:
+    """Column checks of a source's loaded table (Q6, Q7)."""
+    return column_checks(spark.table(f"{source.name}_processed"), source.checks)
+
+
 def build(
     spark: SparkSession,
     lake: str,

@@ -1,9 +1,11 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from tests.helpers import at, tuples
 
 from skyair.__main__ import run
-from skyair.plans.medallion import FLIGHTS, READINGS, audit_source, build, load_silver, refine
+from skyair.plans.medallion import FLIGHTS, READINGS, READINGS_VARIANT, audit_source, build, check_source, load_silver, refine
 from skyair.plans.models import MODELS
 from skyair.schemas import FLIGHTS as FLIGHTS_SCHEMA
 from skyair.sources.writers import append_load, write_json_batch
@@ -40,7 +42,7 @@ def bronze_flights(spark, lake):
 
 @pytest.fixture
 def lake(spark, tmp_path):
-    for table in ("readings_processed", "flights_processed", *(model.name for model in MODELS)):
+    for table in ("readings_processed", "readings_variant_processed", "flights_processed", *(model.name for model in MODELS)):
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     return str(tmp_path)
 
@@ -105,6 +107,22 @@ def test_validating_first_keeps_the_good_copy(spark, lake):
     assert spark.read.parquet(f"{lake}/silver/readings").count() == 1
 
 
+def test_variant_keeps_the_first_copy_and_passes_its_checks(spark, lake):
+    folder = Path(lake) / "bronze" / "readings_variant"
+    folder.mkdir(parents=True)
+    line = '{{"sensor_id": {}, "location_id": null, "parameter": "pm25", "country": "US", "value": {}, "datetime_from_utc": "{}"}}\n'
+    morning, noon = "2026-01-01T06:00:00Z", "2026-01-01T12:00:00Z"
+    (folder / "1767225600000.jsonl").write_text(line.format(1, 5.0, morning) + "\n" + line.format(2, -1.0, morning))
+    (folder / "1767225700000.jsonl").write_text(
+        line.format(1, 7.0, morning) + line.format(2, 1.0, morning) + line.format(1, 8.0, noon) + line.format("null", 1.0, noon)
+    )
+    assert refine(spark, lake) == ["readings_variant"]
+    assert tuples(spark.read.parquet(f"{lake}/silver/readings_variant"), "sensor_id", "value") == [(1, 5.0), (1, 8.0)]
+    assert tuple(audit_source(spark, lake, READINGS_VARIANT).first()) == (6, 4, 3, 2)
+    load_silver(spark, lake)
+    assert all(row.passed for row in check_source(spark, READINGS_VARIANT).collect())
+
+
 def test_command_line(spark, lake, capsys):
     bronze_readings(spark, lake)
     run(spark, ["build", lake, "--sources", "readings", "--groups", "batch", "--no-days"])
