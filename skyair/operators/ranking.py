@@ -1,9 +1,9 @@
 """Top rows per key, safe for keys that hold a large share of all rows.
 
-Spark prunes ``row_number() <= n`` inside each map task before the shuffle (WindowGroupLimit) as long
-as n stays under a session threshold, so a hot key sends at most n rows per map task. Above the
-threshold that pruning is off and the hot key would be sorted by one task; then the ranking runs twice,
-first per key and salt, then per key on what is left.
+Spark prunes ``row_number() <= n`` inside each map task before the shuffle (WindowGroupLimit), so a hot
+key sends at most n rows per map task to the one task that ranks it. For a large n that is still too much
+with many map tasks, and above a session threshold the pruning is off altogether. Then the ranking runs
+twice, first per key and salt, then per key on what is left.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALTS = 1024
+ONE_STEP_ROWS = 100
+SALTS = 4096
 _RANK = "__rank"
 _SALT = "__salt"
 _PRUNING_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
@@ -60,7 +61,7 @@ def _keep_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of every key in the given order; null keys form one group."""
     pruned_up_to = int(df.sparkSession.conf.get(_PRUNING_LIMIT, "1000"))
-    if n > pruned_up_to:
+    if n > min(pruned_up_to, ONE_STEP_ROWS):
         salted = df.withColumn(_SALT, spread(SALTS))
         df = _keep_ranked(salted, [*keys, _SALT], order, n).drop(_SALT)
     return _keep_ranked(df, keys, order, n)

@@ -27,8 +27,12 @@ _ROWS = "__rows"
 
 
 def is_small(df: DataFrame) -> bool:
-    """Whether ``df`` has at most BROADCAST_ROWS rows; reads no more than it takes to tell."""
-    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    """Whether ``df`` has at most BROADCAST_ROWS rows.
+
+    A plain count reads no column it does not have to and sends one number per task; counting a limited
+    frame would send up to the limit from every task to a single one.
+    """
+    return df.count() <= BROADCAST_ROWS
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str = _ROWS) -> DataFrame:

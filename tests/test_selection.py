@@ -67,17 +67,18 @@ def test_newest_rows_per_sensor(spark, n, expected):
         assert tuples(out, "sensor", "n") == [("a", 3), ("b", 2)]
 
 
-def test_many_rows_per_key_are_ranked_in_two_steps(spark, monkeypatch):
+@pytest.mark.parametrize("pruned_up_to, one_step", [("10", 100), ("1000", 10)])
+def test_many_rows_per_key_are_ranked_in_two_steps(spark, monkeypatch, pruned_up_to, one_step):
+    monkeypatch.setattr(ranking, "ONE_STEP_ROWS", one_step)
     rows = [("a", at("2026-01-01") + timedelta(seconds=i), i) for i in range(60)] + [("b", at("2026-01-01"), 1)]
     df = spark.createDataFrame(rows, READINGS).repartition(6)
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", pruned_up_to)
     try:
         out = newest_rows(df, ["sensor"], "t", 20)
         assert out._jdf.queryExecution().analyzed().toString().count("row_number") == 2
         assert tuples(out.filter("sensor = 'a'"), "n") == sorted(((i,) for i in range(40, 60)), key=repr)
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-    assert ranking.SALTS > 1
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from skyair.functions.predicates import in_range, valid_position, valid_reading
 from skyair.operators.cleaning import audit, clean, dedup_first, dedup_newest, dedup_rows, keep_valid, require
 from workload.registry import query
@@ -111,6 +109,18 @@ def c6_first(spark, sf_dir):
     return clean(rows, _KEYS, _REQUIRED, valid_reading(), newest=["location_name"], validate_first=True)
 
 
+@query(
+    "c6_clean_keep_first",
+    f"""
+    WITH {GAPPY}, {_SURVIVORS.format(source="gappy").replace("DESC", "ASC")}
+    SELECT {_COLUMNS} FROM survivors WHERE {_COMPLETE} AND value >= 0
+    """,
+)
+def c6_keep_first(spark, sf_dir):
+    rows = gappy_readings(spark, sf_dir)
+    return clean(rows, _KEYS, _REQUIRED, valid_reading(), newest=["location_name"], keep_first=True)
+
+
 @query(
     "c7_audit",
     f"""

@@ -45,7 +45,7 @@ _CORRELATION = """
 """
 
 
-def _correlation_sql(country="{0}", join="", extra=""):
+def correlation_sql(country="{0}", join="", extra=""):
     return _CORRELATION.format(
         readings=READINGS,
         daily=DAILY,
@@ -94,7 +94,7 @@ def a3(spark, sf_dir):
     return rounded(flight_activity(flights(spark, sf_dir)), "avg_altitude", "avg_velocity")
 
 
-@query("j1_correlation", _correlation_sql())
+@query("j1_correlation", correlation_sql())
 def j1(spark, sf_dir):
     daily = daily_summary(readings(spark, sf_dir))
     return rounded(correlation(daily, flights(spark, sf_dir), POLLUTANTS), *_MEANS)
@@ -195,7 +195,7 @@ def j4_unmapped(spark, sf_dir):
 
 @query(
     "j4_correlation_conformed",
-    _correlation_sql("coalesce(conformed, {0})", "LEFT JOIN mapping ON {0} = alias", _MAPPING),
+    correlation_sql("coalesce(conformed, {0})", "LEFT JOIN mapping ON {0} = alias", _MAPPING),
 )
 def j4_correlation(spark, sf_dir):
     daily = daily_summary(readings(spark, sf_dir))

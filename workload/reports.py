@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyair.operators.aggregation import breakdown, daily_summary
@@ -17,7 +16,7 @@ from skyair.operators.reporting import headline, listing, metric_pairs, sample_r
 from skyair.operators.selection import latest
 from skyair.plans.marts import correlation, latest_states
 from skyair.schemas import READINGS_CHECKS
-from workload.marts import DAILY, _correlation_sql
+from workload.marts import DAILY, correlation_sql
 from workload.registry import query, rounded
 from workload.standins import FLIGHTS, GAPPY, POLLUTANTS, READINGS, flights, gappy_readings, readings, table
 
@@ -75,7 +74,7 @@ _PAIRS = """
 
 @query(
     "a8_metric_pairs",
-    f"WITH mart AS ({_correlation_sql()})"
+    f"WITH mart AS ({correlation_sql()})"
     + "UNION ALL".join(
         _PAIRS.format(x=x, y=y)
         for x, y in (
