@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from workload.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -27,7 +28,7 @@ def canonical(columns, rows):
     return [columns[i] for i in order], sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = contract.queries()[name](spark, SF_DIR)
     cursor = duck.execute(contract.oracle_sql()[name])
@@ -43,6 +44,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql_and_reads_tables():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     for query in contract.queries().values():
         assert list(inspect.signature(query).parameters) == ["spark", "sf_dir"]
