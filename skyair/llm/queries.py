@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyair.llm import chat, langid, sharding
+from skyair.llm import chat, langid, lm, pieces, rules, sharding
 from skyair.llm.common import read_table, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,26 @@ def shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs.select("doc_id"), sharding.lookup_table(spark), "doc_id")
 
 
+@query("op4_sentencepiece")
+def sentencepiece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(read_table(spark, sf_dir, "documents"))
+
+
+@query("op6_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 10) == 0)
+    scored = lm.score(docs, lm.train(docs.filter(~F.col("held_out"))))
+    results = [c for c in scored.columns if c != "doc_id"]
+    return scored.select("doc_id", (remainder("doc_id", 10) == 0).alias("held_out"), *results)
+
+
+@query("op9_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    field = rules.train(docs, read_table(spark, sf_dir, "labels"))
+    return rules.judge(docs, field)
+
+
 @query("op10_chat_formatting", chat.ORACLE)
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
