@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyair.llm import chat, langid, lm, pieces, rules, sharding
+from skyair.llm import chat, langid, lm, pieces, pii, quality, rules, sharding
 from skyair.llm.common import read_table, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs.select("doc_id"), sharding.lookup_table(spark), "doc_id")
 
 
+@query("op3_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read_table(spark, sf_dir, "documents"))
+
+
 @query("op4_sentencepiece")
 def sentencepiece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read_table(spark, sf_dir, "documents"))
@@ -51,6 +56,13 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 10) == 0).alias("held_out"), *results)
 
 
+@query("op7_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "text")
+    labels = read_table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0)
+    return quality.score(docs, quality.train(docs, labels))
+
+
 @query("op9_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")

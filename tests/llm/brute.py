@@ -44,3 +44,29 @@ def shingles(text, size=5):
     if not words:
         return frozenset()
     return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def _luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + k % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def base_spans(text):
+    text = text or ""
+    digits = lambda v: re.sub("[^0-9]", "", v)
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda v: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda v: all(int(p) <= 255 for p in v.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda v: 12 <= len(digits(v)) <= 19 and _luhn(digits(v))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda v: 9 <= len(digits(v)) <= 15),
+    ]
+    found = [
+        (m.start(), place, m.end(), kind)
+        for place, (kind, pattern, good) in enumerate(kinds)
+        for m in re.finditer(pattern, text)
+        if good(m.group())
+    ]
+    return [(kind, start, end) for start, _, end, kind in sorted(found)]
