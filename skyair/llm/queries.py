@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyair.llm import chat, langid, lm, pieces, pii, quality, rules, sharding
+from skyair.llm import chat, decontamination, langid, lm, pieces, pii, quality, rules, sharding
 from skyair.llm.common import read_table, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,11 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, labels))
 
 
+@query("op8_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("op9_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")

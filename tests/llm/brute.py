@@ -70,3 +70,29 @@ def base_spans(text):
         if good(m.group())
     ]
     return [(kind, start, end) for start, _, end, kind in sorted(found)]
+
+
+def leaks(docs, items, least=0.8):
+    """(doc, item) -> best similarity over all windows of the item's size, for those of ``least`` or more."""
+
+    def bag(text):
+        words = WORD.findall(lower(text or "").lower())
+        return [tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))] if words else []
+
+    found = {}
+    for item, item_text in items:
+        want = bag(item_text)
+        if not want:
+            continue
+        counts = Counter(want)
+        for doc, text in docs:
+            have = bag(text)
+            if not set(have) & set(want):
+                continue
+            size = min(len(want), len(have))
+            for i in range(len(have) - size + 1):
+                both = sum((Counter(have[i : i + size]) & counts).values())
+                s = both / (size + len(want) - both)
+                if s >= least and s > found.get((doc, item), (0,))[0]:
+                    found[doc, item] = (s, i)
+    return found
