@@ -108,7 +108,7 @@ def train(df: DataFrame, label: str = "lang", text: str = "text") -> dict[str, n
             yield pa.RecordBatch.from_pydict(rows)
 
     rows = (
-        df.select(F.col(label).alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        df.select(F.col(f"`{label}`").alias("label"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
         .filter(F.col("label").isNotNull())
         .mapInArrow(bundle, "label string, place int, value bigint")
         .groupBy("label", "place")
@@ -120,8 +120,8 @@ def train(df: DataFrame, label: str = "lang", text: str = "text") -> dict[str, n
     return prototypes
 
 
-def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text") -> DataFrame:
-    """``df`` without its text, plus ``lang_pred`` and ``score`` (cosine, 0 where it is negative).
+def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``df`` without its text (unless ``keep_text``), plus ``lang_pred`` and ``score`` (cosine, 0 where it is negative).
 
     Null, empty and letterless texts, and every text where there is no prototype, give ``und`` with score
     0. Ties go to the first language in order of name. Repeated rows are repeated in the result. Columns of
@@ -166,7 +166,9 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text"
                     names=[*labels, "lang_pred", "score"],
                 )
 
-    kept = [c for c in df.columns if c not in (text, "text", "lang_pred", "score")]
-    fed = df.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    kept = [c for c in df.columns if c not in ("lang_pred", "score") and (keep_text or c not in (text, "text"))]
+    kept = [F.col(f"`{c}`").alias("__kept" if c == "text" else c) for c in kept]
+    fed = df.select(*kept, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     schema = [f"`{c}` {kind}" for c, kind in fed.drop("text").dtypes]
-    return fed.mapInArrow(label, ", ".join([*schema, "lang_pred string", "score double"]))
+    found = fed.mapInArrow(label, ", ".join([*schema, "lang_pred string", "score double"]))
+    return found.withColumnRenamed("__kept", "text")

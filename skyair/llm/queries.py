@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyair.llm import chat, decontamination, langid, lm, pieces, pii, quality, rules, sharding
+from skyair.llm import chat, decontamination, jaccard, langid, lm, pieces, pii, quality, rules, sharding
 from skyair.llm.common import read_table, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def sentencepiece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read_table(spark, sf_dir, "documents"))
 
 
+@query("op5_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read_table(spark, sf_dir, "documents"))
+
+
 @query("op6_lm_scoring")
 def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 10) == 0)
