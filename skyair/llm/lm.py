@@ -109,7 +109,7 @@ class _Tally:
             self.size = len(self.parts[0][0])
 
     def taken(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.parts:
+        if not self.size:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         keys = np.concatenate([k for k, _ in self.parts])
         counts = np.concatenate([c for _, c in self.parts])
