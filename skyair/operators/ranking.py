@@ -1,9 +1,9 @@
 """Top rows per key, safe for keys that hold a large share of all rows.
 
-Spark prunes ``row_number() <= n`` inside each map task before the shuffle (WindowGroupLimit), so a hot
-key sends at most n rows per map task to the one task that ranks it. For a large n that is still too much
-with many map tasks, and above a session threshold the pruning is off altogether. Then the ranking runs
-twice, first per key and salt, then per key on what is left.
+Spark prunes ``row_number() <= n`` inside each map task before the shuffle (WindowGroupLimit), so a key
+sends at most n rows per map task. For n above 1 that can still be many for one task, so the ranking runs
+twice, first per key and salt, then per key on what is left. Above a session threshold the pruning is off;
+then the rows of a key are dealt by content in two steps of salts before they meet.
 """
 
 from __future__ import annotations
@@ -14,16 +14,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ONE_STEP_ROWS = 100
-SALTS = 4096
+# With pruning, a salt gathers n rows from each of its map tasks and passes n on.
+TASK_SALTS = 4096
+# Without, a salt of the first step gathers a millionth of a key.
+CONTENT_SALTS = (1 << 20, 1 << 10)
 _RANK = "__rank"
 _SALT = "__salt"
 _PRUNING_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def spread(salts: Column | int) -> Column:
-    """Salt taken from the input partition, so a task that is run again salts its rows as before."""
-    return F.pmod(F.spark_partition_id(), F.lit(salts))
+def spread(df: DataFrame, salts: Column | int, keys: Sequence[str] = ()) -> Column:
+    """Salt from the input partition and the columns other than ``keys``.
+
+    A task that is run again salts its rows as before, and rows that an earlier shuffle brought together
+    by key are spread as well.
+    """
+    others = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name not in keys and _hashable(f.dataType)]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *others), F.lit(salts))
+
+
+def _hashable(kind: T.DataType) -> bool:
+    return _orderable(kind)
 
 
 def _orderable(kind: T.DataType) -> bool:
@@ -60,8 +71,13 @@ def _keep_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of every key in the given order; null keys form one group."""
-    pruned_up_to = int(df.sparkSession.conf.get(_PRUNING_LIMIT, "1000"))
-    if n > min(pruned_up_to, ONE_STEP_ROWS):
-        salted = df.withColumn(_SALT, spread(SALTS))
-        df = _keep_ranked(salted, [*keys, _SALT], order, n).drop(_SALT)
+    if n > 1:
+        if n <= int(df.sparkSession.conf.get(_PRUNING_LIMIT, "1000")):
+            # By task: each task has one salt per key, so the pruning keeps n rows per key and task.
+            steps = [F.pmod(F.spark_partition_id(), F.lit(TASK_SALTS))]
+        else:
+            steps = [spread(df, CONTENT_SALTS[0], keys), *(F.pmod(F.col(_SALT), F.lit(s)) for s in CONTENT_SALTS[1:])]
+        for salt in steps:
+            df = _keep_ranked(df.withColumn(_SALT, salt), [*keys, _SALT], order, n)
+        df = df.drop(_SALT)
     return _keep_ranked(df, keys, order, n)

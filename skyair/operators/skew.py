@@ -1,8 +1,10 @@
-"""Joins for keys that may hold a large share of all rows.
+"""Joins for keys that may hold a large share of all rows, where adaptive execution cannot split them.
 
-A side is broadcast only after its rows were counted. Otherwise both sides are shuffled, and the hot
-keys, which are found by counting, are split: their rows on the big side are dealt to several salts and
-their rows on the other side are repeated once per salt. No row is dropped on either side.
+A plain join of two shuffled tables is left to the engine: it broadcasts a side by its measured bytes and
+splits skewed partitions of inner and left joins. It cannot do that where one side comes straight out of an
+aggregate over the join key. There the hot keys, found by that same aggregate, are split: their rows on
+the big side are dealt to several salts and their rows on the other side repeated once per salt. No row is
+dropped on either side.
 """
 
 from __future__ import annotations
@@ -14,32 +16,21 @@ from pyspark.sql import functions as F
 
 from skyair.operators.ranking import spread
 
-BROADCAST_ROWS = 100_000
-# A key is hot from this many rows on; at most HOT_KEYS of them are split, the largest first, so any
-# other key holds less than 1/HOT_KEYS of all rows.
+# A key is hot from this many rows on and gets a salt for each as many rows.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
-MAX_SALTS = 4_096
 
 _SALT = "__salt"
 _SALTS = "__salts"
 _ROWS = "__rows"
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether ``df`` has at most BROADCAST_ROWS rows.
+def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str = _ROWS) -> DataFrame:
+    """The hot keys of a (keys, rows) table with the number of salts each is split into.
 
-    A plain count reads no column it does not have to and sends one number per task; counting a limited
-    frame would send up to the limit from every task to a single one.
+    There is at most one per HOT_ROWS rows of the counted table.
     """
-    return df.count() <= BROADCAST_ROWS
-
-
-def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str = _ROWS) -> DataFrame:
-    """The hot keys of a (keys, rows) table with the number of salts each is split into; bounded size."""
-    largest = counts.filter(F.col(rows) >= HOT_ROWS).orderBy(F.col(rows).desc(), *keys).limit(HOT_KEYS)
-    salts = F.least(F.ceil(F.col(rows) / HOT_ROWS), F.lit(MAX_SALTS)).cast("int")
-    return largest.select(*keys, salts.alias(_SALTS))
+    salts = F.ceil(F.col(rows) / HOT_ROWS).cast("int")
+    return counts.filter(F.col(rows) >= HOT_ROWS).select(*keys, salts.alias(_SALTS))
 
 
 def _renamed(df: DataFrame, keys: Sequence[str], prefix: str) -> tuple[DataFrame, list[str]]:
@@ -58,15 +49,15 @@ def _same(left: DataFrame, keys: Sequence[str], right: DataFrame, names: Sequenc
 
 def _with_salts(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     hot, names = _renamed(hot, keys, "__hot_")
-    return df.join(F.broadcast(hot), _same(df, keys, hot, names, True), "left").drop(*names)
+    return df.join(hot, _same(df, keys, hot, names, True), "left").drop(*names)
 
 
 def salted_join(
     big: DataFrame, other: DataFrame, keys: Sequence[str], hot: DataFrame, how: str = "inner", null_safe: bool = False
 ) -> DataFrame:
     """Inner or left join on same-named ``keys``, splitting the ``hot`` ones (see ``hot_keys``)."""
-    dealt = _with_salts(big, keys, hot)
-    dealt = dealt.withColumn(_SALT, F.coalesce(spread(F.col(_SALTS)), F.lit(0))).drop(_SALTS)
+    salt = F.coalesce(spread(big, F.col(_SALTS), keys), F.lit(0))
+    dealt = _with_salts(big, keys, hot).withColumn(_SALT, salt).drop(_SALTS)
     repeated = _with_salts(other, keys, hot)
     every_salt = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)
     repeated = repeated.withColumn("__other_salt", F.explode(every_salt)).drop(_SALTS)
@@ -75,17 +66,7 @@ def salted_join(
     return dealt.join(repeated, condition, how).drop(_SALT, "__other_salt", *names)
 
 
-def measured_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Inner or left join of many rows with a table that is usually small, on same-named ``keys``.
-
-    Counts ``other`` first. Small: broadcast, no shuffle of ``big``. Otherwise: ``salted_join``, after a
-    pass over the keys of ``big`` that combines on the map side. A stream cannot be counted ahead, so
-    there a large ``other`` is joined plainly; what one batch holds of a key is bounded by the batch.
-    """
-    if is_small(other):
-        other = F.broadcast(other)
-    elif not big.isStreaming:
-        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
-        return salted_join(big, other, keys, hot_keys(counts, keys), how)
+def lookup_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Inner or left join on same-named ``keys``; the engine picks the strategy by measured bytes."""
     other, names = _renamed(other, keys, "__other_")
     return big.join(other, _same(big, keys, other, names, False), how).drop(*names)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from skyair.operators.aggregation import flight_activity, pivot_mean
 from skyair.operators.aggregation import daily_summary as summarise
-from skyair.operators.joining import conform_country, full_join
+from skyair.operators.joining import aligned_full_join, conform_country
 from skyair.operators.reporting import worst_days
 from skyair.operators.selection import latest
 from skyair.operators.shaping import project
@@ -51,5 +51,5 @@ def correlation(
         daily = conform_country(daily, countries)
         flights = conform_country(flights, countries, "origin_country")
     pollution = pivot_mean(daily, COUNTRY_DAY, pollutants)
-    joined = full_join(pollution, flight_activity(flights), COUNTRY_DAY)
+    joined = aligned_full_join(pollution, flight_activity(flights), COUNTRY_DAY)
     return joined.select(*COUNTRY_DAY, *pollutants, "flight_count", "avg_altitude", "avg_velocity")

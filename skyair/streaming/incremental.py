@@ -16,7 +16,7 @@ from skyair.schemas import FLUSH_SECONDS
 from skyair.streaming.landing import _triggered
 
 _SALT = "__salt"
-STREAM_SALTS = 16
+STREAM_SALTS = 1
 
 
 def clean_stream(
@@ -47,7 +47,7 @@ def clean_stream(
     if validate_first:
         rows = filtered(rows)
     if salts > 1:
-        rows = rows.withColumn(_SALT, spread(salts)).dropDuplicates([*keys, _SALT]).drop(_SALT)
+        rows = rows.withColumn(_SALT, spread(rows, salts, keys)).dropDuplicates([*keys, _SALT]).drop(_SALT)
     rows = rows.dropDuplicates(list(keys))
     return rows if validate_first else filtered(rows)
 

@@ -29,8 +29,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def split_everything(monkeypatch):
-    """Treat every table as large and every key with two or more rows as hot."""
+    """Treat every key with two or more rows as hot."""
     from skyair.operators import skew
 
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(skew, "HOT_ROWS", 2)

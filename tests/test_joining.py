@@ -5,20 +5,24 @@ from pyspark.sql import functions as F
 from tests.helpers import shown_plan, tuples
 
 from skyair.operators.joining import (
+    aligned_full_join,
     conform_country,
     enrich,
     full_join,
     parse_boxes,
+    place_boxes,
     tag_regions,
     unmapped_countries,
 )
-from skyair.operators.skew import hot_keys, measured_join, salted_join
+from skyair.operators.ranking import spread
+from skyair.operators.skew import hot_keys, lookup_join, salted_join
 
 
-def test_full_join_merges_keys_and_never_matches_nulls(spark):
+@pytest.mark.parametrize("join", [full_join, aligned_full_join])
+def test_full_join_merges_keys_and_never_matches_nulls(spark, join):
     left = spark.createDataFrame([("US", 1, 10), ("PK", 1, 20), (None, 1, 30)], "country string, day int, a int")
     right = spark.createDataFrame([("US", 1, 7), ("GB", 1, 8), (None, 1, 9)], "country string, day int, b int")
-    out = full_join(left, right, ["country", "day"])
+    out = join(left, right, ["country", "day"])
     assert out.columns == ["country", "day", "a", "b"]
     assert tuples(out) == sorted(
         [("US", 1, 10, 7), ("PK", 1, 20, None), ("GB", 1, None, 8), (None, 1, 30, None), (None, 1, None, 9)], key=repr
@@ -47,11 +51,6 @@ def test_enrich(spark):
     assert "BroadcastHashJoin" in shown_plan(out)
 
 
-def test_enrich_with_hot_keys_split(spark, split_everything):
-    split = tuples(enriched(spark))
-    assert split == [(1, 0.5, "US", "pm25"), (1, 0.6, "US", "pm25"), (2, 0.7, "PK", "no2"), (2, 0.7, "PK", "second entry")]
-
-
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_split_join_equals_plain_join(spark, split_everything, how, seed):
@@ -61,7 +60,9 @@ def test_split_join_equals_plain_join(spark, split_everything, how, seed):
     left = spark.createDataFrame(big, "k int, c string, v int").repartition(6)
     right = spark.createDataFrame(other, "k int, c string, w int")
     plain = left.join(right, ["k", "c"], how).select("k", "c", "v", "w")
-    assert tuples(measured_join(left, right, ["k", "c"], how)) == tuples(plain)
+    counts = left.groupBy("k", "c").agg(F.count(F.lit(1)).alias("__rows"))
+    split = salted_join(left, right, ["k", "c"], hot_keys(counts, ["k", "c"]), how)
+    assert tuples(split) == tuples(plain) == tuples(lookup_join(left, right, ["k", "c"], how))
 
 
 def test_split_join_can_match_nulls(spark):
@@ -76,10 +77,14 @@ def test_hot_keys_are_split_by_size(spark, monkeypatch):
     from skyair.operators import skew
 
     monkeypatch.setattr(skew, "HOT_ROWS", 10)
-    monkeypatch.setattr(skew, "HOT_KEYS", 2)
-    monkeypatch.setattr(skew, "MAX_SALTS", 5)
     counts = spark.createDataFrame([("a", 9), ("b", 10), ("c", 35), ("d", 1000)], "k string, __rows bigint")
-    assert tuples(hot_keys(counts, ["k"])) == [("c", 4), ("d", 5)]
+    assert tuples(hot_keys(counts, ["k"])) == [("b", 1), ("c", 4), ("d", 100)]
+
+
+def test_a_hot_key_is_spread_after_a_shuffle_by_that_key(spark):
+    rows = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("v")).repartition(8, "k")
+    salted = rows.withColumn("salt", spread(rows, 16, ["k"])).groupBy("salt").count().collect()
+    assert len(salted) == 16 and max(r["count"] for r in salted) < 400
 
 
 BOXES = " north , 10, 10, 20, 20 |south,-5.5,0,12,15| turned, 30, 0, 20, 10"
@@ -119,8 +124,12 @@ def test_regions(spark, cell):
     assert tuples(out, "region", "id") == TAGGED
 
 
-def test_regions_with_hot_cells_split(spark, split_everything):
-    assert tuples(tag_regions(points(spark), parse_boxes(spark, BOXES), cell=7.0), "region", "id") == TAGGED
+def test_a_world_box_touches_few_cells(spark):
+    boxes = parse_boxes(spark, BOXES + "|world,-90,-180,90,180|dot,11,12,11,12")
+    placed = place_boxes(boxes, cell=0.1)
+    assert placed.cells.groupBy("region").count().agg(F.max("count")).first()[0] <= 9
+    expected = sorted([*TAGGED, ("dot", 1), *(("world", i) for i, lat, _ in POINTS if lat is not None and lat == lat)])
+    assert tuples(tag_regions(points(spark), placed), "region", "id") == expected
 
 
 def test_regions_form_no_cross_product(spark):
@@ -132,10 +141,7 @@ MAPPING = [("United States", "US"), ("USA", "US"), ("Pakistan", "PK"), ("Pakista
 COUNTRIES = [("United States", 1), ("US", 2), ("Pakistan", 3), ("Pakistan", 4), ("Narnia", 5), (None, 6)]
 
 
-@pytest.mark.parametrize("fixture", [None, "split_everything"])
-def test_conform_country(spark, request, fixture):
-    if fixture:
-        request.getfixturevalue(fixture)
+def test_conform_country(spark):
     mapping = spark.createDataFrame(MAPPING, "alias string, country string")
     df = spark.createDataFrame(COUNTRIES, "origin string, n int").repartition(3)
     assert tuples(conform_country(df, mapping, "origin")) == sorted(

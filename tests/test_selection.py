@@ -1,12 +1,10 @@
 import random
-from collections import defaultdict
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from tests.helpers import at, tuples
 
-from skyair.operators import ranking
 from skyair.operators.selection import (
     active_locations,
     backfill_from,
@@ -67,15 +65,14 @@ def test_newest_rows_per_sensor(spark, n, expected):
         assert tuples(out, "sensor", "n") == [("a", 3), ("b", 2)]
 
 
-@pytest.mark.parametrize("pruned_up_to, one_step", [("10", 100), ("1000", 10)])
-def test_many_rows_per_key_are_ranked_in_two_steps(spark, monkeypatch, pruned_up_to, one_step):
-    monkeypatch.setattr(ranking, "ONE_STEP_ROWS", one_step)
+@pytest.mark.parametrize("pruned_up_to, steps", [("10", 3), ("1000", 2)])
+def test_many_rows_per_key_are_ranked_in_steps(spark, pruned_up_to, steps):
     rows = [("a", at("2026-01-01") + timedelta(seconds=i), i) for i in range(60)] + [("b", at("2026-01-01"), 1)]
     df = spark.createDataFrame(rows, READINGS).repartition(6)
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", pruned_up_to)
     try:
         out = newest_rows(df, ["sensor"], "t", 20)
-        assert out._jdf.queryExecution().analyzed().toString().count("row_number") == 2
+        assert out._jdf.queryExecution().analyzed().toString().count("row_number") == steps
         assert tuples(out.filter("sensor = 'a'"), "n") == sorted(((i,) for i in range(40, 60)), key=repr)
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
@@ -95,32 +92,39 @@ SENSORS = "country string, location_id bigint, parameter string, location_last t
 TARGETS = ["pm25", "no2", "o3"]
 
 
-def by_scan(rows, k, covering):
-    """Direct form: scan by recency, take what adds a parameter, then fill up."""
-    known = defaultdict(lambda: [None, set()])
-    for country, location, parameter, last in rows:
-        if parameter in TARGETS:
-            known[country, location][0] = last
-            known[country, location][1].add(parameter)
-    chosen = set()
-    for country in {c for c, _ in known}:
-        places = [(loc, last, ps) for (c, loc), (last, ps) in known.items() if c == country]
-        places.sort(key=lambda p: p[0])
-        places.sort(key=lambda p: p[1] or at("0001-01-01"), reverse=True)
-        picked, covered = [], set()
-        for location, _, parameters in places if covering else []:
-            if len(picked) < k and parameters - covered:
-                picked.append(location)
-                covered |= parameters
-        for location, _, _ in places:
-            if len(picked) < k and location not in picked:
-                picked.append(location)
-        chosen |= {(country, location) for location in picked}
-    return sorted(chosen, key=repr)
-
-
-@pytest.mark.parametrize("seed", range(6))
-def test_choice_of_locations_equals_a_scan(spark, seed):
+# country, location, parameter, last: three places of one country and what they carry
+PLACES = [
+    ("US", 1, "pm25", at("2026-01-04")),
+    ("US", 2, "pm25", at("2026-01-03")),
+    ("US", 2, "temperature", at("2026-01-03")),
+    ("US", 3, "pm25", at("2026-01-02")),
+    ("US", 3, "no2", at("2026-01-02")),
+    ("US", 4, "o3", None),
+    ("US", 5, "temperature", at("2026-01-05")),
+    ("PK", 9, "no2", at("2026-01-01")),
+    ("PK", 8, "no2", at("2026-01-01")),
+]
+
+
+@pytest.mark.parametrize(
+    "k, active, covering",
+    [
+        (1, {1, 8}, {1, 8}),
+        (2, {1, 2, 8, 9}, {1, 3, 8, 9}),
+        (3, {1, 2, 3, 8, 9}, {1, 3, 4, 8, 9}),
+        (4, {1, 2, 3, 4, 8, 9}, {1, 2, 3, 4, 8, 9}),
+        (9, {1, 2, 3, 4, 8, 9}, {1, 2, 3, 4, 8, 9}),
+    ],
+)
+def test_chosen_places(spark, k, active, covering):
+    df = spark.createDataFrame(PLACES, SENSORS).repartition(3)
+    assert {r.location_id for r in active_locations(df, TARGETS, k).collect()} == active
+    assert {r.location_id for r in covering_locations(df, TARGETS, k).collect()} == covering
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_properties_of_the_choice(spark, seed):
+    """A place is covering exactly if some parameter has no earlier carrier; the rest are the most recent others."""
     rng = random.Random(seed)
     rows = []
     for country in ("US", "PK", None):
@@ -128,7 +132,20 @@ def test_choice_of_locations_equals_a_scan(spark, seed):
             last = rng.choice([None, at("2026-01-01") + timedelta(days=rng.randrange(4))])
             for parameter in rng.sample([*TARGETS, "temperature"], rng.randrange(1, 4)):
                 rows.append((country, location, parameter, last))
+    targeted = [r for r in rows if r[2] in TARGETS]
+    rank = lambda r: (-(r[3] or at("1990-01-01")).timestamp(), r[1])
+    first = {min((r for r in targeted if r[0] == c and r[2] == p), key=rank)[:2] for c, _, p, _ in targeted}
+    age = {r[:2]: rank(r) for r in targeted}
     df = spark.createDataFrame(rows, SENSORS).repartition(3)
-    for k in (1, 2, 3, 5, 20):
-        assert tuples(active_locations(df, TARGETS, k), "country", "location_id") == by_scan(rows, k, False)
-        assert tuples(covering_locations(df, TARGETS, k), "country", "location_id") == by_scan(rows, k, True)
+    for k in (1, 3, 20):
+        chosen = [(r.country, r.location_id, r.adds_parameter) for r in covering_locations(df, TARGETS, k).collect()]
+        for country in {c for c, _ in age}:
+            own = {loc: adds for c, loc, adds in chosen if c == country}
+            assert all(adds == ((country, loc) in first) for loc, adds in own.items())
+            others = [p for p in age if p[0] == country and p[1] not in own]
+            assert len(own) == min(k, len(own) + len(others))
+            for adds in (True, False):
+                inside = [age[country, loc] for loc, a in own.items() if a == adds]
+                outside = [age[p] for p in others if (p in first) == adds]
+                assert not inside or not outside or max(inside) < min(outside)
+            assert all(own.values()) or not any(p in first for p in others)

@@ -104,14 +104,14 @@ def j1(spark, sf_dir):
     "j1_full_join",
     """
     SELECT coalesce(c.country, s.country) AS country, n_customers, n_suppliers
-    FROM (SELECT c_nationkey AS country, count(*) AS n_customers FROM customer WHERE c_acctbal > 9000 GROUP BY 1) c
-    FULL JOIN (SELECT s_nationkey AS country, count(*) AS n_suppliers FROM supplier GROUP BY 1) s
+    FROM (SELECT c_nationkey AS country, count(*) AS n_customers FROM customer GROUP BY 1) c
+    FULL JOIN (SELECT s_nationkey + 5 AS country, count(*) AS n_suppliers FROM supplier GROUP BY 1) s
       ON c.country = s.country
     """,
 )
 def j1_plain(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").filter("c_acctbal > 9000").groupBy(F.col("c_nationkey").alias("country"))
-    suppliers = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("country"))
+    customers = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("country"))
+    suppliers = table(spark, sf_dir, "supplier").groupBy((F.col("s_nationkey") + 5).alias("country"))
     rows = F.count(F.lit(1))
     return full_join(customers.agg(rows.alias("n_customers")), suppliers.agg(rows.alias("n_suppliers")), ["country"])
 

@@ -17,7 +17,7 @@ from skyair.operators.selection import (
 from workload.registry import query
 from workload.standins import EVENT_SENSORS, event_sensors, table
 
-TARGETS = ("click", "view", "purchase")
+TARGETS = ("click_0", "view_0", "view_1", "purchase_2")
 EVENT = "event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props"
 
 

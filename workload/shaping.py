@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyair.functions.text import blank_to_null, concentration
 from skyair.functions.times import as_instant, days_before, format_utc, from_epoch, parse_utc
-from skyair.operators.reporting import live_cards, with_day_label, worst_days
+from skyair.operators.reporting import live_cards, with_day_label
 from skyair.operators.shaping import explode_sensors, flatten, reporting_sensors, target_parameters, unpack_states
 from skyair.plans.marts import daily_summary, latest_states
 from workload.registry import query, rounded
@@ -132,12 +132,12 @@ def p7(spark, sf_dir):
     FROM (SELECT country, location_id, location_name, CAST(period__datetime_from__utc AS DATE) AS reading_date,
                  round(avg(value), 6) AS avg_pm25
           FROM readings WHERE parameter = 'AF' GROUP BY ALL)
-    ORDER BY avg_pm25 DESC, country, location_id, location_name, reading_date LIMIT 50
     """,
 )
 def p8(spark, sf_dir):
     daily = rounded(daily_summary(readings(spark, sf_dir)), "avg_value")
-    labelled = with_day_label(worst_days(daily, "AF", 50))
+    days = daily.filter(F.col("parameter") == "AF").withColumnRenamed("avg_value", "avg_pm25")
+    labelled = with_day_label(days)
     return labelled.select("location_id", "reading_date", "avg_pm25", "label")
 
 
