@@ -6,7 +6,8 @@
 3. Chosen paths: from the root of a run, a set goes into the bucket of every token that a hash of the path
    and the token samples, with probability 1 / (similarity * TOKENS). Buckets of more than ``BUCKET`` sets are
    split again by further tokens, up to ``DEPTH`` times. Two sets at the threshold then meet in a leaf of one run
-   with a probability known from the branching process, and runs are repeated until the target recall.
+   with a probability known from the branching process, and runs are repeated until the target recall. Sets that
+   are close to a large bucket's reference are linked to it and need not be split further.
 4. Small leaves are compared by brute force on the embedded sets, with a margin of five deviations; the
    sets in what remains large at the last level are all taken together. This gives groups that hold every
    link found.
@@ -37,6 +38,8 @@ TOKENS = 128
 DEPTH = 6
 BUCKET = 64
 BLOCK = 512
+#: Size of the filter that keeps texts outside all groups from the shuffle, whatever the input.
+FILTER_BITS = 1 << 26
 
 _DRAWN = np.random.default_rng(91)
 _FACTORS = _DRAWN.integers(0, 2**63, size=TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -138,18 +141,41 @@ def _first_level(sets: DataFrame, runs: int, similarity: float) -> DataFrame:
 
 
 def _next_level(large: DataFrame, similarity: float) -> DataFrame:
+    """Rows (path, node, tokens, to): the next paths of the sets of large buckets, and links (node, to).
+
+    Each bucket has a reference, its smallest set. Sets near it, at half the distance of the threshold more
+    than that, are linked to it and split no further, so near copies do not multiply. What may be similar to one
+    of them is, by the triangle inequality of the distance, within the sum of both distances of the reference
+    and linked to it too, but goes on.
+    """
+    margin = 5 * (0.25 / TOKENS) ** 0.5
+    near = 1 - 1.5 * (1 - similarity)
+    reach = near - (1 - similarity) - margin
+    references = large.groupBy("path").agg(F.min_by("tokens", "node").alias("own"), F.min("node").alias("to"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 1024):
                 part = batch.slice(k, 1024)
+                tokens = _matrix(part.column("tokens"))
+                alike = (tokens == _matrix(part.column("own"))).mean(axis=1)
+                linked = np.flatnonzero((alike >= reach) & (part.column("node").to_numpy() != part.column("to").to_numpy()))
+                links = part.take(pa.array(linked))
+                yield pa.RecordBatch.from_arrays(
+                    [links.column("path"), links.column("node"), pa.nulls(len(linked), pa.binary()), links.column("to")],
+                    names=["path", "node", "tokens", "to"],
+                )
+                part = part.take(pa.array(np.flatnonzero(alike < near)))
                 before = part.column("path").to_numpy().view(np.uint64)
                 rows, paths = _sampled(_matrix(part.column("tokens")), before, similarity)
                 taken = part.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(paths), taken.column("node"), taken.column("tokens")], names=["path", "node", "tokens"]
+                    [pa.array(paths), taken.column("node"), taken.column("tokens"), pa.nulls(len(rows), pa.int64())],
+                    names=["path", "node", "tokens", "to"],
                 )
 
-    return large.select("path", "node", "tokens").mapInArrow(run, "path bigint, node bigint, tokens binary")
+    rows = large.select("path", "node", "tokens").join(references, "path")
+    return rows.select("path", "node", "tokens", "own", "to").mapInArrow(run, "path bigint, node bigint, tokens binary, to bigint")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -217,9 +243,9 @@ def _candidates(sets: DataFrame, runs: int, similarity: float) -> DataFrame:
     level = stored(_first_level(sets, runs, similarity), "paths")
     small, edges = [], []
     for depth in range(1, DEPTH + 1):
-        sizes = level.groupBy("path").agg(F.count_distinct("node").alias("size")) if depth > 1 else level.groupBy("path").agg(F.count(F.lit(1)).alias("size"))
+        sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("size"))
         sized = stored(level.join(sizes.filter(F.col("size") > 1), "path"), "paths")
-        small.append(sized.filter(F.col("size") <= BUCKET).select("path", "node").distinct())
+        small.append(sized.filter(F.col("size") <= BUCKET).select("path", "node"))
         large = sized.filter(F.col("size") > BUCKET)
         if large.isEmpty():
             break
@@ -229,7 +255,9 @@ def _candidates(sets: DataFrame, runs: int, similarity: float) -> DataFrame:
             break
         if depth == 1:
             large = large.select("path", "node").join(sets.select("node", "tokens"), "node")
-        level = stored(_next_level(large, similarity), "paths")
+        went = stored(_next_level(large, similarity), "paths")
+        edges.append(went.filter(F.col("to").isNotNull()).select(F.col("node").alias("a"), F.col("to").alias("b")))
+        level = went.filter(F.col("to").isNull()).select("path", "node", "tokens")
     leaves = small[0]
     for more in small[1:]:
         leaves = leaves.unionByName(more)
@@ -240,23 +268,48 @@ def _candidates(sets: DataFrame, runs: int, similarity: float) -> DataFrame:
     return found
 
 
+def _bit_of(nodes: np.ndarray) -> np.ndarray:
+    return (mixed(nodes.astype(np.int64).view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _bits_of(groups: DataFrame) -> np.ndarray:
+    """A filter of FILTER_BITS bits, 8 MB at most: a node of a group has its bit set, and few others have."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = _bit_of(batch.column("node").to_numpy())
+            one = (np.uint64(1) << (bit & 63).astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"word": bit >> 6, "bits": one})
+
+    found = groups.select("node").mapInArrow(words, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    found = found.toArrow()
+    table = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    table[np.asarray(found.column("word"), dtype=np.int64)] = np.asarray(found.column("bits"), dtype=np.int64).view(np.uint64)
+    return table
+
+
 def _exact(df: DataFrame, groups: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
     """Rows (node, links, root): per piece of work, a set's links and the smallest set of its part."""
     sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = groups.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
 
+    wanted = df.sparkSession.sparkContext.broadcast(_bits_of(groups))
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
         for batch in batches:
+            batch = batch.filter(batch.column("node").is_valid())
+            nodes = _bit_of(batch.column("node").to_numpy())
+            batch = batch.take(pa.array(np.flatnonzero(bits[nodes >> 6] >> (nodes & 63).astype(np.uint64) & np.uint64(1))))
             for part in chunks(batch):
                 found, whose = shingle_sets(part.column("text"))
                 edges = np.searchsorted(whose, np.arange(part.num_rows + 1))
                 coded = [found[a:b].tobytes() for a, b in zip(edges, edges[1:])]
-                names = [c for c in part.schema.names if c != "text"]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(coded, pa.binary())], names=[*names, "found"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(coded, pa.binary())], names=["node", "found"])
 
     docs = df.select(F.col(f"`{key}`").cast("bigint").alias("node"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    held = docs.join(placed, "node").select("node", "component", "block", "blocks", "text")
-    held = held.mapInArrow(sets, "node bigint, component bigint, block int, blocks int, found binary")
+    # Texts outside all groups are left out before the shuffle; what the filter lets through wrongly, the join drops.
+    held = docs.mapInArrow(sets, "node bigint, found binary").join(placed, "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     pieces = held.select("node", "component", "block", "found", other).select(
         "component", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "node", "block", "found"
