@@ -4,7 +4,8 @@
   load     silver snapshots to warehouse tables
   build    all of it, marts included
   audit    row counts of each cleaning step, per source
-  check    data-quality report of the loaded readings
+  check    data-quality reports of the loaded tables, each written as a folder of JSON below <lake>/checks
+  land     location metadata and measurements (JSON) to a bronze load of readings
 """
 
 from __future__ import annotations
@@ -15,13 +16,16 @@ from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from skyair.operators.aggregation import breakdown
 from skyair.operators.quality import column_checks, distinct_counts, duplicate_keys, null_counts, row_count
 from skyair.operators.reporting import sample_rows
-from skyair.plans.medallion import SOURCES, audit_source, build, load_silver, refine
+from skyair.operators.joining import unmapped_countries
+from skyair.plans.landing import VARIANT, land_readings
+from skyair.plans.medallion import SOURCES, audit_source, build, check_source, load_silver, refine
 from skyair.plans.models import GROUPS
-from skyair.schemas import READINGS_CHECKS, READINGS_KEYS
+from skyair.schemas import LOCATIONS, MEASUREMENT, READINGS_CHECKS, READINGS_KEYS
 from skyair.session import build_session
 from skyair.sources.writers import load_table
 
@@ -35,7 +39,7 @@ def quality_report(readings: DataFrame) -> dict[str, DataFrame]:
         "sample": sample_rows(readings, READINGS_KEYS),
         "breakdown": breakdown(readings).orderBy("country", "parameter"),
         "nulls": null_counts(readings, ["value", "sensor_id", "location_id"]),
-        "duplicates": duplicate_keys(readings, READINGS_KEYS),
+        "duplicates": duplicate_keys(readings, READINGS_KEYS, worst=None),
         "distinct": distinct_counts(
             readings, {"distinct_locations": "location_id", "distinct_sensors": "sensor_id"}
         ),
@@ -43,14 +47,32 @@ def quality_report(readings: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _countries(spark: SparkSession, where: str | None) -> DataFrame | None:
+    if where is None:
+        return None
+    if spark.catalog.tableExists(where):
+        return spark.table(where).select("alias", "country")
+    return spark.read.schema("alias string, country string").json(where)
+
+
+def report_unmapped(daily: DataFrame, countries: DataFrame, lake: str) -> None:
+    """Country names that the mapping does not know, as a folder of JSON."""
+    unmapped_countries(daily, countries).write.mode("overwrite").json(f"{lake}/checks/unmapped_countries")
+
+
 def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="skyair", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
-    parser.add_argument("command", choices=["refine", "load", "build", "audit", "check"])
+    parser.add_argument("command", choices=["refine", "load", "build", "audit", "check", "land"])
     parser.add_argument("lake", help="root folder of the bronze and silver layers")
     parser.add_argument("--sources", nargs="+", choices=NAMES, default=NAMES)
     parser.add_argument("--groups", nargs="+", choices=GROUPS, default=GROUPS, help="mart groups to build")
     parser.add_argument("--validate-first", action="store_true", help="filter before the dedup: loses no good copy")
     parser.add_argument("--no-days", action="store_true", help="do not partition silver by day")
+    parser.add_argument("--countries", help="folder of JSON lines (alias, country), or a table, to conform country names")
+    parser.add_argument("--locations", help="land: folder of location metadata")
+    parser.add_argument("--measurements", help="land: folder of measurements, each with a sensor_id")
+    parser.add_argument("--load-id", default="cli", help="land: lineage id of the load")
+    parser.add_argument("--variant", action="store_true", help="land: the smaller variant")
     parser.add_argument("--format", default="parquet", help="table format of the warehouse")
     given = parser.parse_args(arguments)
     save = partial(load_table, format=given.format)
@@ -67,8 +89,21 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
             save,
             by_day=not given.no_days,
             validate_first=given.validate_first,
+            countries=_countries(spark, given.countries),
         )
         print("built:", *marts)
+        if given.countries and spark.catalog.tableExists("daily_summary"):
+            report_unmapped(spark.table("daily_summary"), _countries(spark, given.countries), given.lake)
+    elif given.command == "land":
+        measured = T.StructType([T.StructField("sensor_id", T.LongType()), *MEASUREMENT.fields])
+        land_readings(
+            spark.read.schema(LOCATIONS).json(given.locations),
+            spark.read.schema(measured).json(given.measurements),
+            f"{given.lake}/bronze/readings",
+            given.load_id,
+            **(VARIANT if given.variant else {}),
+        )
+        print("landed:", given.load_id)
     elif given.command == "audit":
         for source in SOURCES:
             counts = audit_source(spark, given.lake, source) if source.name in given.sources else None
@@ -76,9 +111,17 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
                 print(source.name)
                 counts.show()
     else:
-        for title, report in quality_report(spark.read.parquet(f"{given.lake}/silver/readings")).items():
-            print(title)
-            report.show(100, truncate=False)
+        for source in SOURCES:
+            table = f"{source.name}_processed"
+            if source.name not in given.sources or not spark.catalog.tableExists(table):
+                continue
+            reports = {"checks": check_source(spark, source)}
+            if source.name == "readings":
+                reports |= quality_report(spark.table(table))
+            for title, report in reports.items():
+                folder = f"{given.lake}/checks/{source.name}/{title.replace(' ', '_')}"
+                report.write.mode("overwrite").json(folder)
+                print(f"{source.name} {title}: {folder}")
 
 
 if __name__ == "__main__":

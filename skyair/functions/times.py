@@ -26,8 +26,14 @@ def utc_wall(df: DataFrame, name: str) -> Column:
 
 
 def utc_day(df: DataFrame, name: str) -> Column:
-    """Calendar day in UTC of a timestamp or date column."""
-    return F.to_date(utc_wall(df, name))
+    """Calendar day in UTC of a timestamp or date column.
+
+    A zoned timestamp is counted in whole days since the epoch: integers, and no session zone.
+    """
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        days = F.floor(F.unix_micros(F.col(_quoted(name))) / F.lit(86_400_000_000))
+        return F.date_from_unix_date(days.cast("int"))
+    return F.to_date(F.col(_quoted(name)))
 
 
 def as_instant(df: DataFrame, name: str) -> Column:

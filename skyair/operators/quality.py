@@ -49,10 +49,36 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str], worst: int = 20) -> DataFrame:
-    """Q3: keys that occur more than once, most frequent first."""
+def duplicate_keys(df: DataFrame, keys: Sequence[str], worst: int | None = 20) -> DataFrame:
+    """Q3: keys that occur more than once, most frequent first; ``worst=None`` lists all of them."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("dup_count")).filter(F.col("dup_count") > 1)
-    return counts.orderBy(F.col("dup_count").desc(), *keys).limit(worst)
+    ordered = counts.orderBy(F.col("dup_count").desc(), *keys)
+    return ordered if worst is None else ordered.limit(worst)
+
+
+def duplicate_total(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Q3: how many keys occur more than once, and how many rows they have beyond the first."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+    extra = F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("extra_rows")
+    return counts.agg(F.count(F.lit(1)).alias("duplicate_keys"), extra)
+
+
+def load_checks(
+    df: DataFrame, source: str, keys: Sequence[str], checks: Sequence[tuple[str, str]], expected: T.StructType | None = None
+) -> DataFrame:
+    """Q1-Q7 of one loaded table as rows (source, check_name, column_name, failures, passed).
+
+    Next to the column checks: ``has_rows`` (one failure if there is none) and ``unique`` (keys that
+    occur more than once; ``column_name`` lists them).
+    """
+    result = column_checks(df, checks, expected)
+    empty = row_count(df).select(F.when(F.col("row_count") == 0, 1).otherwise(0).cast("bigint").alias("failures"))
+    doubled = duplicate_total(df, keys).select(F.col("duplicate_keys").alias("failures"))
+    for name, column, failures in (("has_rows", None, empty), ("unique", ",".join(keys), doubled)):
+        passed = (F.col("failures") == 0).alias("passed")
+        named = failures.select(F.lit(name).alias("check_name"), F.lit(column).cast("string").alias("column_name"), "failures", passed)
+        result = result.unionByName(named)
+    return result.select(F.lit(source).alias("source"), "check_name", "column_name", "failures", "passed")
 
 
 def distinct_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:

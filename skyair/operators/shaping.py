@@ -59,9 +59,10 @@ def parse_payloads(df: DataFrame, payload: str = "value") -> DataFrame:
 
 
 def states_of(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Parsed payloads to one typed row per state array, plus the ``keep`` columns."""
-    # The outer form: for the plain one Spark adds a size filter below, which parses every payload again.
-    state = F.explode_outer("parsed.states").alias("__state")
+    """Well-formed payloads to one typed row per state array, plus the ``keep`` columns."""
+    # The outer form: for the plain one, as for a filter here, Spark parses every payload again below.
+    sound = F.when(F.col("well_formed"), F.col("parsed.states"))
+    state = F.explode_outer(sound).alias("__state")
     states = parsed.select(*keep, F.col("parsed.time").alias("__time"), state).filter("__state IS NOT NULL")
 
     def field(name: str, position: int, kind: str) -> Column:

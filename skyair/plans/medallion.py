@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyair import schemas
 from skyair.functions.predicates import valid_position, valid_reading
 from skyair.functions.times import parse_utc, utc_day
 from skyair.operators.cleaning import audit, clean
-from skyair.operators.quality import column_checks
-from skyair.plans.models import GROUPS, build_models
-from skyair.sources.readers import optional, read_json_lines, read_parquet_files
+from skyair.operators.quality import load_checks, require_schema
+from skyair.plans.models import GROUPS, build_models, default_models
+from skyair.sources.readers import optional, read_json_lines, read_parquet_declared, read_parquet_files
 from skyair.sources.writers import load_table, write_snapshot
 
 EVENT_DATE = "event_date"
+CHECKS = "load_checks"
 
 
 @dataclass(frozen=True)
@@ -33,6 +35,10 @@ class Source:
     time: str
     keep_first: bool = False
     checks: tuple[tuple[str, str], ...] = ()
+    # Columns that settle ties in ``newest``; None compares all others.
+    tiebreak: tuple[str, ...] | None = None
+    # Columns the loaded table has to have, with their types.
+    declared: T.StructType | None = None
 
     def rules(self) -> dict:
         return {
@@ -41,9 +47,15 @@ class Source:
             "valid": self.valid(),
             "newest": self.newest,
             "keep_first": self.keep_first,
+            "tiebreak": self.tiebreak,
         }
 
 
+def _read_readings(spark: SparkSession, path: str) -> DataFrame:
+    # Loads may bring columns that earlier ones lack, such as units: they are carried along.
+    return read_parquet_declared(spark, path, schemas.READINGS)
+
+
 def _read_flights(spark: SparkSession, path: str) -> DataFrame:
     # A line that does not parse is a row of nulls here and falls to the required columns.
     return read_json_lines(spark, path, schemas.FLIGHTS).select(*schemas.FLIGHTS.names)
@@ -61,13 +73,15 @@ def _read_readings_variant(spark: SparkSession, path: str) -> DataFrame:
 
 READINGS = Source(
     "readings",
-    read_parquet_files,
+    _read_readings,
     schemas.READINGS_KEYS,
     schemas.READINGS_REQUIRED,
     valid_reading,
-    ("_load_id",),
+    ("_load_time",),
     "period__datetime_from__utc",
     checks=schemas.READINGS_CHECKS,
+    tiebreak=("_load_id", "_row_id"),
+    declared=schemas.READINGS,
 )
 # The small, self-contained form: JSON-lines, the first copy to arrive is kept, another required set.
 READINGS_VARIANT = Source(
@@ -89,6 +103,8 @@ FLIGHTS = Source(
     valid_position,
     ("ingested_at",),
     "observed_at",
+    checks=schemas.FLIGHTS_CHECKS,
+    declared=schemas.FLIGHTS,
 )
 SOURCES = (READINGS, FLIGHTS, READINGS_VARIANT)
 
@@ -149,15 +165,44 @@ def load_silver(
         silver = optional(lambda: read_parquet_files(spark, path), source.name)
         if silver is None:
             continue
+        if source.declared is not None:
+            require_schema(silver.select(*(n for n in source.declared.names if n in silver.columns)), source.declared)
         table = f"{source.name}_processed"
-        save(silver, table)
+        if EVENT_DATE in silver.columns:
+            save(silver, table, partition_by=[EVENT_DATE])
+        else:
+            save(silver, table)
         loaded[source.name] = table
     return loaded
 
 
-def check_source(spark: SparkSession, source: Source) -> DataFrame:
-    """Column checks of a source's loaded table (Q6, Q7)."""
-    return column_checks(spark.table(f"{source.name}_processed"), source.checks)
+def check_source(spark: SparkSession, source: Source, table: str | None = None) -> DataFrame:
+    """Q1-Q7 of a source's loaded table: rows (source, check_name, column_name, failures, passed)."""
+    loaded = spark.table(table or f"{source.name}_processed")
+    expected = None
+    if source.declared is not None:
+        loaded = loaded.select(*source.declared.names)
+        expected = source.declared
+    return load_checks(loaded, source.name, source.keys, source.checks, expected)
+
+
+def check_loaded(
+    spark: SparkSession,
+    tables: Mapping[str, str],
+    save: Callable[..., None] = load_table,
+    sources: Collection[Source] = SOURCES,
+    name: str = CHECKS,
+) -> str | None:
+    """Check every loaded table and store the results as one table; returns its name."""
+    results = None
+    for source in sources:
+        if source.name in tables:
+            found = check_source(spark, source, tables[source.name])
+            results = found if results is None else results.unionByName(found)
+    if results is None:
+        return None
+    save(results, name)
+    return name
 
 
 def build(
@@ -165,12 +210,19 @@ def build(
     lake: str,
     names: Collection[str] | None = None,
     groups: Collection[str] = GROUPS,
-    save: Callable[[DataFrame, str], None] = load_table,
+    save: Callable[..., None] = load_table,
     by_day: bool = True,
     validate_first: bool = False,
+    countries: DataFrame | None = None,
 ) -> list[str]:
-    """Bronze to marts for the chosen sources; returns the names of the marts built."""
+    """Bronze to marts for the chosen sources; returns the names of the marts built.
+
+    The loaded tables are checked before a mart reads them and the results stored as ``load_checks``; a
+    table whose schema differs from the declared one stops the build. ``countries`` (alias, country)
+    brings both sides of the correlation to one form of country name.
+    """
     refine(spark, lake, names, validate_first, by_day)
     tables = load_silver(spark, lake, names, save)
+    check_loaded(spark, tables, save)
     staging = {f"staging_{source}": spark.table(table) for source, table in tables.items()}
-    return build_models(spark, staging, save, groups)
+    return build_models(spark, staging, save, groups, default_models(countries))

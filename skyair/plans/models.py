@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyair.plans import marts
 
+log = logging.getLogger(__name__)
+
 STAGING = ("staging_readings", "staging_flights")
 
 
@@ -22,18 +25,23 @@ class Model:
     reads: tuple[str, ...]
 
 
-# In order: a model comes after those it reads.
-MODELS = (
-    Model("daily_summary", "batch", lambda t: marts.daily_summary(t("staging_readings")), ("staging_readings",)),
-    Model("polluted_days", "batch", lambda t: marts.polluted_days(t("daily_summary")), ("daily_summary",)),
-    Model("latest_states", "streaming", lambda t: marts.latest_states(t("staging_flights")), ("staging_flights",)),
-    Model(
+def default_models(countries: DataFrame | None = None) -> tuple[Model, ...]:
+    """The marts in order: one comes after those it reads. ``countries`` is for the correlation."""
+    correlation = Model(
         "flight_air_correlation",
         "correlation",
-        lambda t: marts.correlation(t("daily_summary"), t("staging_flights")),
+        lambda t: marts.correlation(t("daily_summary"), t("staging_flights"), countries=countries),
         ("daily_summary", "staging_flights"),
-    ),
+    )
+    return (*_SINGLE, correlation)
+
+
+_SINGLE = (
+    Model("daily_summary", "batch", lambda t: marts.daily_summary(t("staging_readings")), ("staging_readings",)),
+    Model("polluted_days", "batch", lambda t: marts.polluted_days(t("daily_summary")), ("daily_summary",)),
+    Model("latest_states", "streaming", lambda t: marts.latest_states(t("staging_flights")), ("staging_flights",)),
 )
+MODELS = default_models()
 GROUPS = ("batch", "streaming", "correlation")
 
 
@@ -58,6 +66,9 @@ def build_models(
             name in staging or (name not in STAGING and spark.catalog.tableExists(name)) for name in model.reads
         )
         if model.group in groups and present:
+            for name in model.reads:
+                if name not in staging and name not in built:
+                    log.warning("%s reads %s as an earlier run left it", model.name, name)
             save(model.build(spark.table), model.name)
             built.append(model.name)
     return built

@@ -57,6 +57,7 @@ READINGS = _struct(
     ("location_name", T.StringType()),
     ("country", T.StringType()),
     ("_load_id", T.StringType()),
+    ("_load_time", T.TimestampType()),
     ("_row_id", T.StringType()),
 )
 READINGS_KEYS = ("sensor_id", "period__datetime_from__utc")
@@ -83,6 +84,8 @@ READINGS_CHECKS = (
     ("not_null", "country"),
 )
 
+FLIGHTS_CHECKS = (("not_null", "icao24"), ("not_null", "observed_at"), ("not_null", "latitude"), ("not_null", "longitude"))
+
 # Location and sensor metadata -------------------------------------------------------------------
 _UTC = _struct(("utc", T.StringType()))
 _PARAMETER = _struct(("name", T.StringType()))

@@ -1,6 +1,8 @@
 """Spark session for the command line, tests and benchmarks.
 
-Library code never pins a master or changes a running session: it takes the session it is given.
+Library code never pins a master or changes a running session: it takes the session it is given. On large
+inputs set ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` to the number of partitions a shuffle
+of the largest table needs (about 128 MB each); adaptive execution merges them again where there is less.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyair.operators.quality import require_schema
+
 log = logging.getLogger(__name__)
 
 CORRUPT = "_corrupt_record"
@@ -45,6 +47,21 @@ def read_parquet_files(spark: SparkSession, path: str, schema: T.StructType | No
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
+def read_parquet_declared(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
+    """S2 with a declared schema: its columns first, then every other column any file has, by name.
+
+    All footers are merged, so what comes back does not depend on which file is looked at first. A
+    declared column that no file has is null; one of another type raises ``SchemaMismatch``.
+    """
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", "true")
+    merged = {field.name: field for field in reader.parquet(path).schema.fields}
+    present = T.StructType([merged.get(f.name, f) for f in declared.fields])
+    require_schema(spark.createDataFrame([], present), declared)
+    names = set(declared.names)
+    extra = sorted((f for f in merged.values() if f.name not in names), key=lambda f: f.name)
+    return read_parquet_files(spark, path, T.StructType([*declared.fields, *extra]))
+
+
 def optional(read: Callable[[], DataFrame], name: str = "source") -> DataFrame | None:
     """S3: ``read()``, or None when the input is missing or unreadable.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,19 +32,36 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
         df.limit(0).write.mode("overwrite").parquet(path)
 
 
-def load_table(df: DataFrame, table: str, format: str = "parquet", options: Mapping[str, str] | None = None) -> None:
-    """Replace a warehouse table by the rows of ``df``. Other warehouses by ``format`` and options."""
-    df.write.format(format).options(**(options or {})).mode("overwrite").saveAsTable(table)
+def load_table(
+    df: DataFrame,
+    table: str,
+    format: str = "parquet",
+    options: Mapping[str, str] | None = None,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Replace a warehouse table by the rows of ``df``. Other warehouses by ``format`` and options.
+
+    With ``partition_by`` the rows are rebalanced on those columns, as in ``write_snapshot``.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *map(F.col, partition_by))
+    writer = df.write.format(format).options(**(options or {})).mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
 
 
-def with_lineage(df: DataFrame, load_id: str) -> DataFrame:
-    """Stamp rows with the load's id and a unique row id."""
-    return df.withColumn("_load_id", F.lit(load_id)).withColumn("_row_id", F.uuid())
+def with_lineage(df: DataFrame, load_id: str, loaded_at: datetime | None = None) -> DataFrame:
+    """Stamp rows with the load's id, its time and a unique row id.
+
+    The time (default: now) tells which load is newer; the id is only lineage, and need not sort.
+    """
+    moment = F.lit(loaded_at) if loaded_at else F.current_timestamp()
+    stamped = df.withColumn("_load_id", F.lit(load_id)).withColumn("_load_time", moment.cast("timestamp"))
+    return stamped.withColumn("_row_id", F.uuid())
 
 
-def append_load(df: DataFrame, path: str, load_id: str) -> None:
+def append_load(df: DataFrame, path: str, load_id: str, loaded_at: datetime | None = None) -> None:
     """Append a load to a bronze table. Copies of one record are resolved later, by cleaning."""
-    with_lineage(df, load_id).write.mode("append").parquet(path)
+    with_lineage(df, load_id, loaded_at).write.mode("append").parquet(path)
 
 
 def write_json_batch(df: DataFrame, path: str) -> bool:

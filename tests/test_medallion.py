@@ -120,7 +120,8 @@ def test_variant_keeps_the_first_copy_and_passes_its_checks(spark, lake):
     assert tuples(spark.read.parquet(f"{lake}/silver/readings_variant"), "sensor_id", "value") == [(1, 5.0), (1, 8.0)]
     assert tuple(audit_source(spark, lake, READINGS_VARIANT).first()) == (6, 4, 3, 2)
     load_silver(spark, lake)
-    assert all(row.passed for row in check_source(spark, READINGS_VARIANT).collect())
+    results = check_source(spark, READINGS_VARIANT).collect()
+    assert all(row.passed for row in results) and {"has_rows", "unique", "not_null"} <= {row.check_name for row in results}
 
 
 def test_command_line(spark, lake, capsys):
@@ -131,6 +132,8 @@ def test_command_line(spark, lake, capsys):
     out = capsys.readouterr().out
     assert "built: daily_summary polluted_days" in out
     assert "|          5|               4|               3|               2|" in out
-    assert "|non_negative|value      |0       |true  |" in out
+    checks = spark.read.json(f"{lake}/checks/readings/checks").filter("check_name = 'non_negative'").first()
+    assert (checks.column_name, checks.failures, checks.passed) == ("value", 0, True)
+    assert spark.read.json(f"{lake}/checks/readings/breakdown").count() == 1
     with pytest.raises(SystemExit):
         run(spark, ["build", lake, "--sources", "weather"])

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from skyair.functions.times import as_instant
 from skyair.plans.marts import daily_summary
+from skyair.operators.cleaning import dedup_newest
 from skyair.plans.medallion import build
 from skyair.plans.models import Model, build_models
 from skyair.schemas import FLIGHTS as FLIGHTS_SCHEMA
@@ -71,8 +73,8 @@ def _table_saver(spark, prefix):
     """Tables under names and folders of their own, so that runs do not meet."""
     folder = shared_folder(spark, "warehouse")
 
-    def save(df, name):
-        load_table(df, prefix + name, options={"path": f"{folder}/{name}"})
+    def save(df, name, partition_by=()):
+        load_table(df, prefix + name, options={"path": f"{folder}/{name}"}, partition_by=partition_by)
 
     return save
 
@@ -107,6 +109,26 @@ def s7(spark, sf_dir):
     return loads.agg(F.count(F.lit(1)).alias("row_count"), F.countDistinct("_row_id").alias("row_ids"))
 
 
+@query(
+    "s7_newest_load",
+    """
+    SELECT event_id, user_id, CASE WHEN event_id % 3 = 0 THEN '10' ELSE '9' END AS _load_id,
+           CASE WHEN event_id % 3 = 0 THEN value + 1 ELSE value END AS value
+    FROM events
+    """,
+)
+def s7_newest(spark, sf_dir):
+    """Load "10" is newer than load "9", although its id sorts before it."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    folder = shared_folder(spark, "newest-load")
+    append_load(events, folder, "9", datetime(2026, 1, 1))
+    again = events.filter("event_id % 3 = 0").withColumn("value", F.col("value") + 1)
+    append_load(again, folder, "10", datetime(2026, 1, 2))
+    rows = read_parquet_files(spark, folder)
+    newest = dedup_newest(rows, ["event_id"], ["_load_time"], ["_load_id", "_row_id"])
+    return newest.select("event_id", "user_id", "_load_id", "value")
+
+
 @query("s8_json_batch", _EVENTS)
 def s8(spark, sf_dir):
     """Two batches and an empty one, which must not be written."""
@@ -182,8 +204,8 @@ def s4(spark, sf_dir):
     save = _table_saver(spark, prefix)
     tables = {}
 
-    def save_named(df, name):
-        save(df, name)
+    def save_named(df, name, partition_by=()):
+        save(df, name, partition_by)
         tables[name] = prefix + name
         spark.table(tables[name]).createOrReplaceTempView(name)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyair.functions.times import as_instant
 from skyair.operators.joining import parse_boxes
 from skyair.sources.scratch import shared_folder
-from skyair.streaming.incremental import clean_stream, maintain_latest, read_latest
+from skyair.streaming.incremental import clean_stream, compact_latest, late_rows, maintain_latest, read_latest
 from skyair.streaming.landing import land, land_states
 from skyair.streaming.states import parse_states
 from workload.registry import query
@@ -61,31 +61,50 @@ def t2(spark, sf_dir):
     """,
 )
 def t4(spark, sf_dir):
+    """Two sources, each with a checkpoint of its own, land on one path."""
     folder = shared_folder(spark, "stream-quarantine")
     raw = payloads(event_stream(spark, sf_dir))
     good, bad = f"{folder}/states", f"{folder}/quarantine"
-    land_states(raw, good, bad, f"{folder}/checkpoint", keep=("event_id",), seconds=None).awaitTermination()
+    for name, part in (("even", "event_id % 2 = 0"), ("odd", "event_id % 2 = 1")):
+        land_states(raw.filter(part), good, bad, f"{folder}/{name}", keep=("event_id",), seconds=None).awaitTermination()
     landed = spark.read.schema("event_id bigint, icao24 string").json(good)
     rejected = spark.read.schema("event_id bigint, value string").json(bad)
     both = landed.select("event_id", F.lit(False).alias("quarantined")).union(rejected.select("event_id", F.lit(True)))
     return both.groupBy("event_id", "quarantined").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def in_batches(spark, sf_dir, name, order, count):
+    """Events written in ``count`` files by ``order``, and a stream that takes one file per batch."""
+    events = table(spark, sf_dir, "events")
+    folder = f"{shared_folder(spark, name)}/input"
+    ranked = events.withColumn("arrival", F.pmod(order, F.lit(count)).cast("bigint"))
+    for k in range(count):
+        ranked.filter(F.col("arrival") == k).coalesce(1).write.mode("append").parquet(folder)
+    schema = ranked.schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.parquet").parquet(folder)
+    return spark.read.schema(schema).parquet(folder), stream, folder.removesuffix("/input")
+
+
 @query(
     "t5_clean_stream",
     """
-    SELECT DISTINCT user_id, CAST(date_trunc('hour', ts) AS VARCHAR) AS ts FROM events WHERE user_id <> 7
+    SELECT user_id, CAST(date_trunc('hour', ts) AS VARCHAR) AS ts, min(event_id % 4) AS arrival
+    FROM events WHERE user_id <> 7 GROUP BY ALL
     """,
 )
 def t5(spark, sf_dir):
-    folder = shared_folder(spark, "stream-clean")
-    stream = event_stream(spark, sf_dir)
-    hourly = stream.select(
-        F.nullif("user_id", F.lit(7)).alias("user_id"), F.date_trunc("hour", as_instant(stream, "ts")).alias("ts")
-    )
-    cleaned = clean_stream(hourly, ["user_id", "ts"], "ts", "2 hours", ["user_id", "ts"])
+    """Four batches, later ones full of late rows: the stream and the repair from bronze give the first copy of each key."""
+    bronze, stream, folder = in_batches(spark, sf_dir, "stream-clean", F.col("event_id"), 4)
+
+    def hourly(rows):
+        time = F.date_trunc("hour", as_instant(rows, "ts")).alias("ts")
+        return rows.select(F.nullif("user_id", F.lit(7)).alias("user_id"), time, "arrival")
+
+    keys = ["user_id", "ts"]
+    cleaned = clean_stream(hourly(stream), keys, "ts", "2 hours", keys)
     land(cleaned, f"{folder}/data", f"{folder}/checkpoint", "parquet", seconds=None).awaitTermination()
-    return spark.read.parquet(f"{folder}/data")
+    silver = spark.read.parquet(f"{folder}/data")
+    return silver.unionByName(late_rows(hourly(bronze), silver, keys, ["arrival"], keys))
 
 
 @query(
@@ -97,7 +116,11 @@ def t5(spark, sf_dir):
     """,
 )
 def t6(spark, sf_dir):
-    folder = shared_folder(spark, "stream-latest")
-    stream = event_stream(spark, sf_dir)
-    maintain_latest(stream, "user_id", "ts", f"{folder}/data", f"{folder}/checkpoint", seconds=None).awaitTermination()
-    return read_latest(spark, f"{folder}/data", "user_id", "ts")
+    """Two sources on one path, each in several batches, with a compaction in between."""
+    _, stream, folder = in_batches(spark, sf_dir, "stream-latest", F.col("event_id"), 4)
+    stream = stream.select("event_id", "ts", "user_id", "event_type", "value", "props")
+    path = f"{folder}/data"
+    for name, part in (("low", "event_id % 3 = 0"), ("high", "event_id % 3 <> 0")):
+        maintain_latest(stream.filter(part), "user_id", "ts", path, f"{folder}/{name}", seconds=None).awaitTermination()
+        compact_latest(spark, path, "user_id", "ts")
+    return read_latest(spark, path, "user_id", "ts")
