@@ -138,3 +138,36 @@ def clean(df: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``df`` whose key is in no row of ``found``; null keys are compared like any other."""
     hit = found.select(F.col(f"`{key}`").alias("__hit")).distinct()
     return df.join(hit, F.col(f"`{key}`").eqNullSafe(F.col("__hit")), "left_anti")
+
+
+def _sql_shingles(table: str, key: str) -> str:
+    return f"""
+  SELECT {key}, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WORDS} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - {WORDS - 2}), lambda i : array_to_string(w[i:i + {WORDS - 1}], ' ')) END AS s
+  FROM (SELECT {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x : x <> '') AS w
+        FROM {table})"""
+
+
+ORACLE = f"""
+WITH docs AS ({_sql_shingles("documents", "doc_id")}
+), items AS ({_sql_shingles("benchmark", "item_id")}
+), item_counts AS (
+  SELECT item_id, len(s) AS size, g, count(*) AS n FROM (SELECT item_id, s, unnest(s) AS g FROM items) GROUP BY ALL
+), placed AS (
+  SELECT doc_id, len(s) AS total, unnest(s) AS g, generate_subscripts(s, 1) - 1 AS pos FROM docs
+), begins AS (
+  SELECT DISTINCT doc_id, least(pos, greatest(total - size, 0)) AS pos, size FROM placed JOIN (SELECT DISTINCT size, g FROM item_counts) USING (g)
+), windows AS (
+  SELECT doc_id, b.pos, size, s[b.pos + 1:b.pos + size] AS bag FROM begins b JOIN docs USING (doc_id)
+), window_counts AS (
+  SELECT doc_id, pos, size, held, g, count(*) AS n
+  FROM (SELECT doc_id, pos, size, len(bag) AS held, unnest(bag) AS g FROM windows) GROUP BY ALL
+), shared AS (
+  SELECT doc_id, item_id, w.pos, held, size, sum(least(w.n, i.n)) AS k
+  FROM window_counts w JOIN item_counts i USING (size, g) GROUP BY ALL
+), scored AS (
+  SELECT doc_id, item_id, pos, k / (held + size - k) AS similarity FROM shared WHERE k / (held + size - k) >= {SIMILARITY}
+)
+SELECT doc_id, item_id, arg_min(pos, (-similarity, pos))::INTEGER AS "window", round(max(similarity), 6) AS similarity
+FROM scored GROUP BY doc_id, item_id
+"""

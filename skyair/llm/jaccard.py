@@ -397,3 +397,31 @@ def keep_one(df: DataFrame, joined: DataFrame, key: str = "doc_id") -> DataFrame
     """``df`` without the documents that are not the first of their class; rows with a null id stay."""
     dropped = joined.filter(F.col(key) != F.col("class_id")).select(F.col(key).alias("__dropped")).distinct()
     return df.join(dropped, F.col(f"`{key}`").cast("bigint") == F.col("__dropped"), "left_anti")
+
+
+ORACLE = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x : x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WORDS} THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {WORDS - 2}), lambda i : array_to_string(w[i:i + {WORDS - 1}], ' ')))) END AS s
+  FROM words
+), classes AS (
+  SELECT s, min(doc_id) AS node FROM sets WHERE len(s) > 0 GROUP BY s
+), shingles AS (
+  SELECT node, len(s) AS n, unnest(s) AS g FROM classes
+), links AS (
+  SELECT a.node AS a, b.node AS b, count(*) AS k, max(a.n) AS an, max(b.n) AS bn
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.node <> b.node GROUP BY a.node, b.node
+  HAVING count(*) >= {SIMILARITY} * (max(a.n) + max(b.n) - count(*)) - 1e-9
+), reached AS (
+  SELECT node AS a, node AS b FROM classes
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), roots AS (
+  SELECT a AS node, min(b) AS root FROM reached GROUP BY a
+), counted AS (
+  SELECT a AS node, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT doc_id, coalesce(root, doc_id) AS class_id, coalesce(c.node, doc_id) AS copy_of, coalesce(n_links, 0) AS n_links
+FROM sets LEFT JOIN classes c USING (s) LEFT JOIN roots r ON c.node = r.node LEFT JOIN counted n ON c.node = n.node
+"""

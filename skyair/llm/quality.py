@@ -68,8 +68,9 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     bucket = (hashes % np.uint64(_BUCKETS)).astype(np.int64)
     sign = ((hashes >> np.uint64(40)) & np.uint64(1)).astype(np.float64) * 2 - 1
     sketch = np.bincount(passage * _BUCKETS + bucket, weights=sign, minlength=total * _BUCKETS)
-    scale = np.maximum(words, 1)[:, None]
-    out[:, len(_CLASSES) : len(_CLASSES) + _BUCKETS] = sketch.reshape(total, _BUCKETS) / np.sqrt(scale)
+    sketch = sketch.reshape(total, _BUCKETS)
+    # Of length 1/2, so that one word said over and over does not drown the other measurements.
+    out[:, len(_CLASSES) : len(_CLASSES) + _BUCKETS] = sketch / np.maximum(2 * np.linalg.norm(sketch, axis=1), 1e-9)[:, None]
 
     share = lambda flags: np.bincount(passage[flags], minlength=total) / np.maximum(words, 1)
     grams, at = windows(hashes, owner, 5)
@@ -82,7 +83,7 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     spread = np.bincount(passage, weights=(ends - starts) ** 2, minlength=total) / np.maximum(words, 1)
     out[:, -6:] = np.stack(
         [
-            share(_again(mixed(hashes + passage.astype(np.uint64)), any_copy=False)), share(marked), share(same),
+            2 * share(_again(mixed(hashes + passage.astype(np.uint64)), any_copy=False)), 2 * share(marked), 2 * share(same),
             np.log1p(words) / 4, size / 8, np.sqrt(np.maximum(spread - size**2, 0)) / 8,
         ],
         axis=1,
@@ -126,13 +127,13 @@ class Network:
         }
 
 
-def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 20, batch: int = 128, seed: int = 3) -> Network:
-    """Adam on the log-likelihood of the labels of the bags."""
+def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 20, batch: int = 128, steps: int = 600, seed: int = 3) -> Network:
+    """Adam on the log-likelihood of the labels of the bags, over ``epochs`` rounds or ``steps``, whichever is more."""
     net, draw = Network(seed), np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
-    step = 0
-    for _ in range(epochs):
+    step, rounds = 0, max(epochs, -(-steps // max(1, -(-len(bags) // batch))))
+    for _ in range(rounds if bags else 0):
         order = draw.permutation(len(bags))
         for k in range(0, len(order), batch):
             some = order[k : k + batch]

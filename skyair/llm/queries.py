@@ -48,7 +48,7 @@ def sentencepiece_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read_table(spark, sf_dir, "documents"))
 
 
-@query("op5_ngram_jaccard_join")
+@query("op5_ngram_jaccard_join", jaccard.ORACLE)
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read_table(spark, sf_dir, "documents"))
 
@@ -68,7 +68,7 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, labels))
 
 
-@query("op8_decontamination")
+@query("op8_decontamination", decontamination.ORACLE)
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
