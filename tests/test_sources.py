@@ -161,5 +161,22 @@ def test_shared_folder(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_folder(Session, "x")
     Session.sparkContext.master = "local[2]"
-    monkeypatch.setattr(scratch.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    monkeypatch.setattr(scratch, "_local_root", lambda: str(tmp_path))
     assert scratch.shared_folder(Session, "x").startswith(str(tmp_path))
+
+
+def test_declared_readings_keep_later_columns(spark, tmp_path):
+    from skyair.operators.quality import SchemaMismatch
+    from skyair.schemas import READINGS
+    from skyair.sources.readers import read_parquet_declared
+
+    path = str(tmp_path / "bronze")
+    spark.createDataFrame([(1, 2.0)], "sensor_id bigint, value double").write.parquet(path)
+    spark.createDataFrame([(2, 3.0, "ppm")], "sensor_id bigint, value double, units string").write.mode("append").parquet(path)
+    for _ in range(10):
+        rows = read_parquet_declared(spark, path, READINGS)
+        assert rows.columns == [*READINGS.names, "units"]
+    assert {(r.sensor_id, r.units) for r in rows.collect()} == {(1, None), (2, "ppm")}
+    spark.createDataFrame([("x",)], "value string").write.mode("append").parquet(str(tmp_path / "other"))
+    with pytest.raises(SchemaMismatch):
+        read_parquet_declared(spark, str(tmp_path / "other"), READINGS)

@@ -176,3 +176,29 @@ def test_latest_state_follows_the_stream(spark, feed, paths):
         assert tuples(read_latest(spark, paths("out"), "icao24", "observed_at")) == expected
     table = latest_stream(spark.createDataFrame(everything, RECORDS), "icao24", "observed_at")
     assert tuples(table) == expected
+
+
+def test_the_trigger_of_a_topic_is_left_to_its_source():
+    from skyair.streaming.landing import _triggered
+
+    class Writer:
+        def trigger(self, **given):
+            return given
+
+    assert _triggered(Writer(), 0) == {"processingTime": "0 seconds"}
+    assert _triggered(Writer(), 30) == {"processingTime": "30 seconds"}
+    assert _triggered(Writer(), None) == {"availableNow": True}
+
+
+def test_latest_carries_a_map_along(spark):
+    rows = [("a", at("2026-01-01"), 1, {"x": 1}), ("a", at("2026-01-02"), 2, {"x": 2}), ("a", at("2026-01-02"), 1, {"x": 3})]
+    df = spark.createDataFrame(rows, "k string, t timestamp, n int, m map<string,int>")
+    assert [tuple(r) for r in latest_stream(df, "k", "t").collect()] == [("a", at("2026-01-02"), 2, {"x": 2})]
+
+
+def test_malformed_payloads_give_no_rows(spark):
+    from skyair.operators.shaping import unpack_states
+
+    good = '{"time": 1, "states": [["a"]]}'
+    rows = [('{"time": "x", "states": [["b"]]}',), ('{"states": [["c"]]}',), (good,), ("{",), (None,)]
+    assert tuples(unpack_states(spark.createDataFrame(rows, "value string")), "icao24") == [("a",)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skyair.functions.times import as_instant
 from skyair.operators.aggregation import flight_activity, pivot_mean
 from skyair.operators.joining import (
     conform_country,
@@ -16,7 +17,7 @@ from skyair.operators.joining import (
 from skyair.operators.reporting import worst_days
 from skyair.operators.shaping import explode_sensors
 from skyair.plans.marts import COUNTRY_DAY, correlation, daily_summary
-from workload.registry import query, rounded
+from workload.registry import ORACLES, query, rounded
 from workload.standins import FLIGHTS, POLLUTANTS, READINGS, SENSORS, flights, locations, readings, table
 
 DAILY = """
@@ -72,6 +73,12 @@ def a1(spark, sf_dir):
     return rounded(daily_summary(readings(spark, sf_dir)), "avg_value")
 
 
+@query("a1_daily_summary_zoned", ORACLES["a1_daily_summary"])
+def a1_zoned(spark, sf_dir):
+    """A1 over zoned timestamps, as silver has them."""
+    return rounded(daily_summary(zoned(readings(spark, sf_dir), "period__datetime_from__utc")), "avg_value")
+
+
 @query(
     "a2_pivot_mean",
     f"""
@@ -94,6 +101,16 @@ def a3(spark, sf_dir):
     return rounded(flight_activity(flights(spark, sf_dir)), "avg_altitude", "avg_velocity")
 
 
+@query("a3_flight_activity_zoned", ORACLES["a3_flight_activity"])
+def a3_zoned(spark, sf_dir):
+    """A3 over zoned timestamps."""
+    return rounded(flight_activity(zoned(flights(spark, sf_dir), "observed_at")), "avg_altitude", "avg_velocity")
+
+
+def zoned(df, name):
+    return df.withColumn(name, as_instant(df, name))
+
+
 @query("j1_correlation", correlation_sql())
 def j1(spark, sf_dir):
     daily = daily_summary(readings(spark, sf_dir))
