@@ -36,7 +36,7 @@ SIMILARITY = 0.8
 TARGET_RECALL = 0.99
 TOKENS = 128
 DEPTH = 6
-BUCKET = 64
+BUCKET = 256
 BLOCK = 512
 #: Size of the filter that keeps texts outside all groups from the shuffle, whatever the input.
 FILTER_BITS = 1 << 26
