@@ -2,11 +2,12 @@
 
 Emails, IP addresses, card and phone numbers are found by pattern and check. Each distinct value is a
 protected entity. How strongly a term (a run of letters, lower-cased) reveals an entity is estimated from the
-whole corpus: with e documents that hold the entity, d that hold the term and j that hold the term in a
-line with the entity, of N documents in all, the pointwise mutual information is log2(j N / (e d)) and
-the information of the entity itself log2(N / e). A term that gives at least ``DISCLOSURE`` of that
-information is generalised in every document that holds the entity; one that gives all of it is removed. To
-be taken as evidence, a pair has to occur in ``MIN_TEXTS`` different texts. Documents without a protected
+whole corpus: with e documents that hold the entity, d that hold the term and j that hold both, of N
+documents in all, the pointwise mutual information is log2(j N / (e d)) and the information of the entity
+itself log2(N / e). A term that gives at least ``DISCLOSURE`` of that information is generalised in every
+document that holds the entity; one that gives all of it is removed. Every row is a document, copies too, and
+every entity counts, also one that stands in a single document. A term says something about an entity from
+``MIN_DOCUMENTS`` documents on; rarer ones are the noise of a single text. Documents without a protected
 entity are left alone.
 
 Patterns find where a match can begin by looking back one character, and use possessive repeats, so a long
@@ -18,8 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyair.llm.common import stored
+
 DISCLOSURE = 0.8
-MIN_TEXTS = 3
+#: Documents a term has to stand in to be evidence.
+MIN_DOCUMENTS = 3
 KINDS = ("email", "ip", "card", "phone")
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -115,13 +119,6 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], F.when(span["kind"] == "email", F.lower(span["value"])).otherwise(_digits(span["value"])))
 
 
-def _lines_of(text: Column, start: Column) -> Column:
-    """The line that holds a position."""
-    return F.concat(
-        F.substring_index(F.left(text, start), "\n", -1), F.substring_index(F.substr(text, start + 1), "\n", 1)
-    )
-
-
 def _terms(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), r"\P{L}+")), "")
 
@@ -133,31 +130,32 @@ def _with_base(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.withColumn("__hash", F.xxhash64("__text")).withColumn("__base", base_spans(F.col("__text")))
 
 
+def _entities(spans: Column) -> Column:
+    return F.array_distinct(F.transform(spans, _entity))
+
+
 def disclosing_terms(
-    df: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, min_texts: int = MIN_TEXTS
+    df: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
     """Rows (entity, term, removed): the terms that reveal an entity, from the whole of ``df``."""
-    holders = _with_base(df, key, text).filter(F.size("__base") > 0)
-    spans = holders.select("__key", "__hash", "__text", F.explode("__base").alias("span"))
-    spans = spans.select("__key", "__hash", _entity(F.col("span")).alias("entity"), _lines_of(F.col("__text"), F.col("span.start")).alias("line"))
-    entities = spans.groupBy("entity").agg(
-        F.count_distinct(F.xxhash64("__key", "__hash")).alias("e"), F.count_distinct("__hash").alias("texts")
-    )
-    entities = entities.filter(F.col("texts") >= min_texts).drop("texts")
-    pairs = (
-        spans.join(entities, "entity")
-        .select("entity", "e", "__key", "__hash", F.explode(_terms(F.col("line"))).alias("term"))
-        .groupBy("entity", "e", "term")
-        .agg(F.count_distinct(F.xxhash64("__key", "__hash")).alias("j"), F.count_distinct("__hash").alias("texts"))
-        .filter(F.col("texts") >= min_texts)
-    )
     every = df.select(F.explode(_terms(F.coalesce(F.col(f"`{text}`"), F.lit("")))).alias("term"))
-    documents = every.groupBy("term").agg(F.count(F.lit(1)).alias("d"))
+    # Both tables are stored: as a plain scan they can be split where a term or an entity is very common.
+    documents = stored(every.groupBy("term").agg(F.count(F.lit(1)).alias("d")), "pii-documents")
+    holders = _with_base(df, key, text).filter(F.size("__base") > 0)
+    held = holders.select(F.explode(_entities(F.col("__base"))).alias("entity"), _terms(F.col("__text")).alias("terms"))
+    # The empty term stands for the entity itself: it is in every document that holds it.
+    both = held.select("entity", F.explode(F.array_append("terms", "")).alias("term"))
+    both = stored(both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("j")), "pii-pairs")
+    entities = both.filter(F.col("term") == "").select("entity", F.col("j").alias("e"))
     n = df.count()
     given = F.log2(F.col("j") * n / (F.col("e") * F.col("d")))
     own = F.log2(n / F.col("e"))
     return (
-        pairs.join(documents, "term")
+        both.filter(F.col("term") != "")
+        .join(documents.filter(F.col("d") >= min_documents), "term")
+        # An entity has j documents at least, so none is revealed by a term of more documents than this.
+        .filter(F.log2("d") <= disclosure * F.log2("j") + (1 - disclosure) * F.log2(F.lit(n)) + 1e-9)
+        .join(entities, "entity")
         .filter((given >= disclosure * own) & (given > 0))
         .select("entity", "term", (given >= own - 1e-9).alias("removed"))
     )
@@ -166,15 +164,16 @@ def disclosing_terms(
 def _term_spans(df: DataFrame, terms: DataFrame, key: str, text: str) -> DataFrame:
     """Per document that holds a revealed entity: its text, base spans and the spans of the terms."""
     holders = _with_base(df, key, text).filter(F.size("__base") > 0).dropDuplicates(["__key", "__hash"])
-    listed = terms.groupBy("entity").agg(F.collect_set(F.struct("term", "removed")).alias("terms"))
+    # Met term by term: a document receives its own terms only, however many reveal a common entity.
     of_text = (
-        holders.select("__key", "__hash", F.explode(F.array_distinct(F.transform("__base", _entity))).alias("entity"))
-        .join(listed, "entity")
+        holders.select("__key", "__hash", _terms(F.col("__text")).alias("terms"), F.explode(_entities(F.col("__base"))).alias("entity"))
+        .select("__key", "__hash", "entity", F.explode("terms").alias("term"))
+        .join(terms, ["entity", "term"])
         .groupBy("__key", "__hash")
-        .agg(F.flatten(F.collect_list("terms")).alias("terms"))
-        .withColumnRenamed("__key", "__own")
+        .agg(F.collect_set(F.struct("term", "removed")).alias("terms"))
+        .withColumnsRenamed({"__key": "__own", "__hash": "__owner"})
     )
-    rows = holders.join(of_text.withColumnRenamed("__hash", "__owner"), F.col("__key").eqNullSafe(F.col("__own")) & (F.col("__hash") == F.col("__owner")))
+    rows = holders.join(of_text, F.col("__key").eqNullSafe(F.col("__own")) & (F.col("__hash") == F.col("__owner")))
     listed_terms = F.transform("terms", lambda t: t["term"])
     removed = F.transform(F.filter("terms", lambda t: t["removed"]), lambda t: t["term"])
     rows = rows.withColumns({"__listed": listed_terms, "__removed": removed})
@@ -216,11 +215,11 @@ def find(df: DataFrame, terms: DataFrame | None = None, key: str = "doc_id", tex
     )
 
 
-def _rewritten(text: Column, spans: Column) -> Column:
+def _rewritten(text: Column, spans: Column, removed: str = "") -> Column:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
-        mark = F.when(span["kind"] == "removed", F.lit("")).otherwise(F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">")))
+        mark = F.when(span["kind"] == "removed", F.lit(removed)).otherwise(F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">")))
         before = F.substr(text, state["at"] + 1, span["start"] - state["at"])
         fresh = F.concat(state["out"], before, mark)
         return F.struct(
@@ -235,8 +234,9 @@ def _rewritten(text: Column, spans: Column) -> Column:
 def sanitise(df: DataFrame, terms: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with the text of every document that holds personal data rewritten.
 
-    A base span becomes its kind in angle brackets, a revealing term ``<TERM>`` or nothing; where spans
-    overlap, all of them are hidden. All other rows and columns stay as they are, null texts too.
+    A base span becomes its kind in angle brackets, a revealing term ``<TERM>`` or nothing (``<TERM>`` for
+    all of them where what is left would run together to a new base span); where spans overlap, all of
+    them are hidden. All other rows and columns stay as they are, null texts too.
     """
     terms = disclosing_terms(df, key, text) if terms is None else terms
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -249,5 +249,8 @@ def sanitise(df: DataFrame, terms: DataFrame | None = None, key: str = "doc_id",
     held = held.join(added, F.col(f"`{key}`").eqNullSafe(F.col("__own")) & (F.col("__hash") == F.col("__owner")), "left")
     none = F.filter("__found", lambda s: F.lit(False))
     spans = F.array_sort(F.concat("__found", F.coalesce("__terms", none)))
-    held = held.withColumn("__spans", spans)
-    return clean.unionByName(held.withColumn(text, _rewritten(F.col(f"`{text}`"), F.col("__spans"))).select(*df.columns))
+    held = held.withColumn("__spans", spans).withColumn("__out", _rewritten(F.col(f"`{text}`"), F.col("__spans")))
+    marked_all = _rewritten(F.col(f"`{text}`"), F.col("__spans"), "<TERM>")
+    joined = F.exists("__spans", lambda s: s["kind"] == "removed") & (F.size(base_spans(F.col("__out"))) > 0)
+    held = held.withColumn(text, F.when(joined, marked_all).otherwise(F.col("__out")))
+    return clean.unionByName(held.select(*df.columns))
