@@ -7,12 +7,13 @@ a count to the escape. Below the empty context all symbols left are equally
 likely. The score of a text is the sum of log10 probabilities of its bytes and its end, with the counts
 gathered from the training texts (pretrained, not adapted while a text is read).
 
-A-Z are lower-cased. Context bytes are read through two fixed class tables (26 letters, space, digits,
-other groups), so there are at most 32 * 32 * 64 contexts of three bytes whatever the corpus. Of the longer
-contexts the model keeps the most frequent, ``LONG_CONTEXTS`` at most; a text in another context is coded in
-the longest shorter one that is kept. That bounds what the driver gathers and what the tasks receive, at
-``LONG_CONTEXTS`` plus 65,536 rows of 257 numbers. Symbols are whole bytes. The counts themselves cover every
-byte of every training text and are made by Spark.
+A-Z are lower-cased; contexts and symbols are bytes as they stand. The counts of all contexts of all
+training texts are a Spark table. Two bounded shortcuts travel to the tasks: the most frequent contexts
+(``LONG_CONTEXTS``), used where the whole six bytes are among them, and the most frequent six-byte
+contexts with their symbol (``FREQUENT_GRAMS``). Every other symbol leaves its task as a row (document,
+context and symbol, times) and is joined to its exact probability through a shuffle. What training has
+seen after its six bytes needs one count and one total; for what it has not, the different
+(context, symbol) are joined to the counts of all seven lengths.
 
 Next to it stands a plain word model. Its frequent words, a bounded number, travel to the tasks that read
 the texts; all other words are joined to their counts through a shuffle. Words are told apart by a 64-bit
@@ -26,7 +27,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyair.llm.common import LOWER, buffer_of, chunks, mixed, span_hashes, stored, word_spans
@@ -35,11 +36,13 @@ END = 256
 SYMBOLS = 257
 ORDER = 6
 #: Contexts of each length; the context of length k is the remainder of the longest one modulo CONTEXTS[k].
-CONTEXTS = (1, *(64 * 32**k for k in range(ORDER)))
-#: Every context up to this length is kept.
-SHORT = 3
-#: Longer contexts in the model: at most this many, the most frequent.
-LONG_CONTEXTS = 1 << 17
+CONTEXTS = tuple(256**k for k in range(ORDER + 1))
+#: Every context up to this length is among the frequent ones.
+SHORT = 2
+#: Longer contexts sent to every task: at most this many, the most frequent.
+LONG_CONTEXTS = 1 << 16
+#: Six-byte contexts with symbol sent to every task: at most this many, the most frequent; 16 bytes each.
+FREQUENT_GRAMS = 1 << 20
 #: Words sent to every task: at most this many, the most frequent; 16 bytes each.
 FREQUENT_WORDS = 1 << 18
 
@@ -47,27 +50,8 @@ _GRAM, _WORD, _TEXT = 0, 1, 2
 _HELD = 1 << 21  # entries a counting task holds before it hands them on
 
 
-def _class_tables() -> tuple[np.ndarray, np.ndarray]:
-    far, near = np.zeros(256, dtype=np.int64), np.zeros(256, dtype=np.int64)
-    for b in range(256):
-        char = chr(b)
-        if b >= 0x80:
-            far[b] = 31 if b >= 0xC0 else 30
-            near[b] = (48 if b >= 0xC0 else 32) + (b & 0x0F)
-        elif char.isalpha():
-            far[b] = near[b] = 1 + (b | 0x20) - ord("a")
-        elif char == " ":
-            far[b] = near[b] = 0
-        elif b < 0x20 or b == 0x7F:
-            far[b] = near[b] = 27
-        elif char.isdigit():
-            far[b] = near[b] = 28
-        else:
-            far[b], near[b] = 29, {".": 29, ",": 30}.get(char, 31)
-    return far, near
-
-
-_FAR, _NEAR = _class_tables()
+#: How context bytes are read, all but the last and the last: as they stand.
+_FAR = _NEAR = np.arange(256, dtype=np.int64)
 
 
 def symbols_in_context(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,8 +70,8 @@ def symbols_in_context(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
     last = max(0, len(padded) - ORDER)
     context = np.zeros(last, dtype=np.int64)
     for place in range(ORDER - 1):
-        context = context * 32 + _FAR[as_byte[place : place + last]]
-    context = context * 64 + _NEAR[as_byte[ORDER - 1 : ORDER - 1 + last]]
+        context = context * 256 + _FAR[as_byte[place : place + last]]
+    context = context * 256 + _NEAR[as_byte[ORDER - 1 : ORDER - 1 + last]]
     symbol_owner = np.repeat(np.arange(n), np.diff(offsets) + ORDER + 1)
     whole = symbol_owner[:last] == symbol_owner[ORDER:]
     return context[whole], padded[ORDER:][whole], symbol_owner[ORDER:][whole]
@@ -180,6 +164,13 @@ class Contexts(NamedTuple):
                 rows[hit] = found[place[hit]]
         return self.table[rows, self.column[symbol]]
 
+    def whole(self, context: np.ndarray) -> np.ndarray:
+        """Where all of the context is kept, so that no longer one is missing."""
+        held = np.zeros(len(context), dtype=bool)
+        for keys, _, salt in self.long[-1]:
+            held |= keys[_place(context, salt, len(keys))] == context
+        return held
+
 
 def _place(context: np.ndarray, salt: int, size: int) -> np.ndarray:
     return ((context * (0x9E3779B97F4A7C15 - (salt << 17) - 2**64)) >> 33) & (size - 1)
@@ -266,16 +257,23 @@ def most_frequent(df: DataFrame, n: str, most: int) -> DataFrame:
     return df.filter(step >= lowest)
 
 
-def kept_contexts(grams: DataFrame, long_contexts: int = LONG_CONTEXTS) -> DataFrame:
-    """Counts (length, context, symbol, n) of the contexts the model keeps, from counts (item, n)."""
-    lengths = F.explode(F.array(*(F.struct(F.lit(k).alias("length"), F.lit(v).cast("bigint").alias("size")) for k, v in enumerate(CONTEXTS))))
-    context, symbol = F.shiftright("item", 9), F.col("item").bitwiseAND(511)
-    by_length = (
-        grams.select(lengths.alias("l"), context.alias("context"), symbol.cast("int").alias("symbol"), "n")
-        .groupBy(F.col("l.length").alias("length"), (F.col("context") % F.col("l.size")).alias("context"), "symbol")
-        .agg(F.sum("n").alias("n"))
-    )
-    by_length = stored(by_length, "lm-contexts")
+def _by_length(items: DataFrame, *others: str) -> DataFrame:
+    """Per ``item`` seven rows (length, context, symbol), one for each length of context."""
+    sizes = [F.struct(F.lit(k).alias("length"), F.lit(v).cast("bigint").alias("size")) for k, v in enumerate(CONTEXTS)]
+    symbol = F.col("item").bitwiseAND(511).cast("int").alias("symbol")
+    rows = items.select("item", *others, symbol, F.explode(F.array(*sizes)).alias("l"))
+    context = F.shiftright("item", 9) % F.col("l.size")
+    return rows.select("item", *others, F.col("l.length").alias("length"), context.alias("context"), "symbol")
+
+
+def all_contexts(grams: DataFrame) -> DataFrame:
+    """Counts (length, context, symbol, n) of all contexts, from counts (item, n)."""
+    counts = _by_length(grams, "n").groupBy("length", "context", "symbol").agg(F.sum("n").alias("n"))
+    return stored(counts, "lm-contexts")
+
+
+def kept_contexts(by_length: DataFrame, long_contexts: int = LONG_CONTEXTS) -> DataFrame:
+    """The counts of the frequent contexts."""
     totals = by_length.filter(F.col("length") > SHORT).groupBy("length", "context").agg(F.sum("n").alias("total"))
     long = most_frequent(totals, "total", long_contexts)
     return by_length.filter(F.col("length") <= SHORT).unionByName(
@@ -283,29 +281,83 @@ def kept_contexts(grams: DataFrame, long_contexts: int = LONG_CONTEXTS) -> DataF
     )
 
 
+def unseen(items: DataFrame, by_length: DataFrame) -> DataFrame:
+    """Rows (item, value): log10 probability of items that training has not seen, from counts of all lengths."""
+    levels = _by_length(items)
+    node = ["length", "context"]
+    own = by_length.join(levels.select(node).distinct(), node, "left_semi")
+    sizes = F.array(*(F.lit(v).cast("bigint") for v in CONTEXTS))
+    shorter = F.col("context") % F.get(sizes, F.greatest(F.col("length") - 1, F.lit(0)))
+    above = by_length.select((F.col("length") + 1).alias("length"), F.col("context").alias("shorter"), "symbol", F.col("n").alias("above"))
+    # A context's symbols are all seen after the next shorter one too: ``above`` is what they count there.
+    nodes = own.withColumn("shorter", shorter).join(above, ["length", "shorter", "symbol"], "left").groupBy(node).agg(
+        F.sum("n").cast("double").alias("total"), F.count(F.lit(1)).cast("double").alias("kinds"),
+        F.coalesce(F.sum("above"), F.lit(0)).cast("double").alias("above"),
+    )
+    nodes = stored(nodes, "lm-nodes")
+    met = levels.join(nodes, node).join(by_length, [*node, "symbol"], "left")
+    chain = F.array_sort(F.collect_list(F.struct((-F.col("length")).alias("k"), "total", "kinds", "above", "n")))
+    start = F.struct(F.lit(0.0).alias("log"), F.lit(False).alias("done"), F.lit(0.0).alias("above"), F.lit(0.0).alias("kinds"))
+
+    def step(state, level):
+        whole, kinds = level["total"] - state["above"], level["kinds"] - state["kinds"]
+        log = (
+            F.when(state["done"], state["log"])
+            .when(level["n"].isNotNull(), state["log"] + F.log10((level["n"] - 0.5) / whole))
+            .when(kinds > 0, state["log"] + F.log10(kinds / (2 * whole)))
+            .otherwise(state["log"])
+        )
+        return F.struct(
+            log.alias("log"), (state["done"] | level["n"].isNotNull()).alias("done"),
+            level["above"].alias("above"), level["kinds"].alias("kinds"),
+        )
+
+    end = lambda state: F.when(state["done"], state["log"]).otherwise(state["log"] - F.log10(SYMBOLS - state["kinds"]))
+    found = met.groupBy("item").agg(chain.alias("chain"))
+    return found.select("item", F.aggregate("chain", start, step, end).alias("value"))
+
+
 class Model(NamedTuple):
     contexts: Contexts
     frequent: np.ndarray  # hashes of the frequent words, ascending
     frequent_counts: np.ndarray
-    counts: DataFrame  # (word, c) of all words
+    grams: np.ndarray  # the frequent six-byte contexts with symbol, ascending
+    grams_log: np.ndarray
+    counts: DataFrame  # (gram, word, value): log10 of the count of all words, log10 probability of all grams seen
+    by_length: DataFrame  # counts of all contexts
     train_tokens: int
     vocabulary: int
     texts: int
 
 
+def _ascending(df: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
+    rows = df.select(key, value).toArrow()
+    keys, values = np.asarray(rows.column(key)), np.asarray(rows.column(value))
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
 def train(
-    df: DataFrame, text: str = "text", frequent_words: int = FREQUENT_WORDS, long_contexts: int = LONG_CONTEXTS
-) -> Model:
+    df: DataFrame, text: str = "text", frequent_words: int = FREQUENT_WORDS, long_contexts: int = LONG_CONTEXTS,
+    frequent_grams: int = FREQUENT_GRAMS,
+) -> Model:
     counts = stored(corpus_counts(df, text), "lm-counts")
     words = counts.filter(F.col("kind") == _WORD).select(F.col("item").alias("word"), F.col("n").alias("c"))
     n_words, n_tokens = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     texts = sum(r["n"] for r in counts.filter(F.col("kind") == _TEXT).collect())
-    frequent = most_frequent(words, "c", frequent_words).toArrow()
-    keys, c = (np.asarray(frequent.column(name), dtype=np.int64) for name in ("word", "c"))
-    order = np.argsort(keys)
-    grams = kept_contexts(counts.filter(F.col("kind") == _GRAM).select("item", "n"), long_contexts).toArrow()
-    contexts = contexts_of(*(np.asarray(grams.column(k), dtype=np.int64) for k in ("length", "context", "symbol", "n")))
-    return Model(contexts, keys[order], c[order], words, n_tokens + texts, n_words + (texts > 0), texts)
+    keys, c = _ascending(most_frequent(words, "c", frequent_words), "word", "c")
+    grams = counts.filter(F.col("kind") == _GRAM).select("item", "n")
+    by_length = all_contexts(grams)
+    kept = kept_contexts(by_length, long_contexts).toArrow()
+    contexts = contexts_of(*(np.asarray(kept.column(k), dtype=np.int64) for k in ("length", "context", "symbol", "n")))
+    # A window holds the symbols of one context, SYMBOLS at most.
+    total = F.sum("n").over(Window.partitionBy(F.shiftright("item", 9)))
+    seen = stored(grams.withColumn("value", F.log10((F.col("n") - 0.5) / total)), "lm-seen")
+    items, logs = _ascending(most_frequent(seen, "n", frequent_grams), "item", "value")
+    values = seen.select(F.lit(True).alias("gram"), F.col("item").alias("word"), "value").unionByName(
+        words.select(F.lit(False).alias("gram"), "word", F.log10(F.col("c") + 0.1).alias("value"))
+    )
+    return Model(contexts, keys, c, items, logs, values, by_length, n_tokens + texts, n_words + (texts > 0), texts)
 
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -318,17 +370,25 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     spark = df.sparkSession
     end_log, end_known = float(np.log10(model.texts + 0.1)), int(model.texts > 0)
     shared = spark.sparkContext.broadcast(
-        (model.contexts, model.frequent, np.log10(model.frequent_counts + 0.1))
+        (model.contexts, model.frequent, np.log10(model.frequent_counts + 0.1), model.grams, model.grams_log)
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts, frequent, frequent_log = shared.value
+        contexts, frequent, frequent_log, grams, grams_log = shared.value
         for batch in batches:
             for part in chunks(batch):
                 n = part.num_rows
                 context, symbol, owner = symbols_in_context(part.column("text"))
+                item = context << 9 | symbol
                 coded = contexts.coded(context, symbol).astype(np.float64)
-                code_length = np.bincount(owner, weights=coded, minlength=n)
+                met = contexts.whole(context)
+                if len(grams):
+                    place = np.minimum(np.searchsorted(grams, item), len(grams) - 1)
+                    listed = grams[place] == item
+                    coded[listed] = grams_log[place[listed]]
+                    met |= listed
+                code_length = np.bincount(owner[met], weights=coded[met], minlength=n) + 0.0
+                rare_gram, gram_owner = item[~met], owner[~met]
                 data, offsets = buffer_of(part.column("text"))
                 digest = span_hashes(data, offsets[:-1], offsets[1:]).view(np.int64)
                 data = LOWER[data]
@@ -340,11 +400,13 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
                 logs = np.bincount(owner[known], weights=frequent_log[place[known]], minlength=n) + end_log
                 n_known = np.bincount(owner[known], minlength=n) + end_known
                 tokens = np.bincount(owner, minlength=n) + 1
-                rare, rare_owner = words[~known], owner[~known]
-                order = np.lexsort((rare, rare_owner))
-                rare, rare_owner = rare[order], rare_owner[order]
+                is_gram = np.repeat([False, True], [np.count_nonzero(~known), len(rare_gram)])
+                rare = np.concatenate([words[~known], rare_gram])
+                rare_owner = np.concatenate([owner[~known], gram_owner])
+                order = np.lexsort((rare, is_gram, rare_owner))
+                rare, rare_owner, is_gram = rare[order], rare_owner[order], is_gram[order]
                 first = np.flatnonzero(
-                    np.concatenate([[True], (rare[1:] != rare[:-1]) | (rare_owner[1:] != rare_owner[:-1])])
+                    np.concatenate([[True], (rare[1:] != rare[:-1]) | (is_gram[1:] != is_gram[:-1]) | (rare_owner[1:] != rare_owner[:-1])])
                 ) if len(rare) else np.zeros(0, dtype=np.int64)
                 times = np.diff(np.append(first, len(rare)))
                 source = np.concatenate([np.arange(n), rare_owner[first]])
@@ -356,26 +418,37 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
                         pa.array(digest[source]),
                         # A text's own row carries no word; a number of its own spreads these rows.
                         pa.array(np.concatenate([mixed(digest.view(np.uint64) + np.arange(n, dtype=np.uint64)).view(np.int64), rare[first]])),
+                        pa.array(np.concatenate([np.zeros(n, bool), is_gram[first]])),
                         pa.array(np.concatenate([np.zeros(n, np.int64), times])),
                         filled(tokens), filled(n_known), filled(logs), filled(code_length),
                     ],
-                    names=["key", "digest", "word", "times", "tokens", "known", "logs", "coded"],
+                    names=["key", "digest", "word", "gram", "times", "tokens", "known", "logs", "coded"],
                 )
 
     kind = df.select(F.col(f"`{key}`").alias("key")).dtypes[0][1]
     fed = df.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     read_rows = fed.mapInArrow(
         read,
-        f"key {kind}, digest bigint, word bigint, times bigint, tokens bigint, known bigint, logs double, coded double",
+        f"key {kind}, digest bigint, word bigint, gram boolean, times bigint, tokens bigint, known bigint, logs double, coded double",
+    )
+    read_rows = stored(read_rows, "lm-rows")
+    missing = read_rows.filter("gram").select(F.col("word").alias("item")).distinct().join(
+        model.counts.filter("gram").select(F.col("word").alias("item")), "item", "left_anti"
     )
-    c = F.coalesce("c", F.lit(0))
-    joined = read_rows.join(model.counts, "word", "left")
+    missing = stored(missing, "lm-missing")
+    if model.texts:
+        found = unseen(missing, model.by_length)
+    else:
+        found = missing.withColumn("value", F.lit(-float(np.log10(SYMBOLS))))
+    values = model.counts.unionByName(found.select(F.lit(True).alias("gram"), F.col("item").alias("word"), "value"))
+    joined = read_rows.join(values, ["gram", "word"], "left")
+    rare_word = ~F.col("gram") & (F.col("times") > 0)
     summed = joined.groupBy("key", "digest").agg(
         F.count("tokens").alias("rows"),
         F.sum("tokens").alias("tokens"),
-        (F.sum("known") + F.sum(F.when(c > 0, F.col("times")).otherwise(0))).alias("known"),
-        (F.sum("logs") + F.sum(F.when(F.col("times") > 0, F.col("times") * F.log10(c + 0.1)).otherwise(0.0))).alias("logs"),
-        F.sum("coded").alias("coded"),
+        (F.sum("known") + F.sum(F.when(rare_word & F.col("value").isNotNull(), F.col("times")).otherwise(0))).alias("known"),
+        (F.sum("logs") + F.sum(F.when(rare_word, F.col("times") * F.coalesce("value", F.lit(-1.0))).otherwise(0.0))).alias("logs"),
+        (F.sum("coded") + F.sum(F.when(F.col("gram"), F.col("times") * F.col("value")).otherwise(0.0))).alias("coded"),
     )
     whole = float(np.log10(model.train_tokens + 0.1 * (model.vocabulary + 1)))
     per_row = lambda name: (F.col(name) / F.col("rows"))

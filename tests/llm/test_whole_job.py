@@ -5,10 +5,11 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from tests.llm import brute
-from tests.llm.test_operators import table
+from tests.llm.test_operators import plain_matching, table
 
-from skyair.llm import pii
+from skyair.llm import lm, pii
 
 
 def plain_spans(docs):
@@ -59,3 +60,18 @@ def test_removed_terms_leave_no_new_personal_data(spark):
     docs = [(k, "at x@y.zz +1 zorb 555 010 9999", None) for k in range(3)] + [(9 + k, "and so on", None) for k in range(200)]
     for r in pii.sanitise(table(spark, docs)).filter("doc_id < 9").collect():
         assert not brute.base_spans(r.text) and "zorb" not in r.text
+
+
+@pytest.mark.parametrize("few", [0, 3, 1 << 16])
+def test_scores_do_not_depend_on_which_contexts_are_frequent(spark, few):
+    train = ["The cat sat. The cat ran!", "A dog, a cat and 12 mice\n", "", "éclair école", "мама мыла раму", "the cat sat"]
+    texts = [*train, "the cats, 13 mice", "мама рыла яму", "école éclat 🙂", "Zebra"]
+    model = lm.train(table(spark, [(k, t, None) for k, t in enumerate(train)]), long_contexts=few, frequent_grams=few)
+    for r in lm.score(table(spark, [(k, t, None) for k, t in enumerate(texts)]), model).collect():
+        assert r.score == pytest.approx(plain_matching(train, texts[r.doc_id]), rel=1e-5)
+
+
+def test_bytes_are_contexts_of_their_own(spark):
+    docs = table(spark, [(k, t, None) for k, t in enumerate(["1a", "2b", "яа", "юб"] * 20)])
+    context, _, _ = lm.symbols_in_context(docs.select("text").toArrow().column("text").combine_chunks())
+    assert len(set((context % 256).tolist())) == 1 + len(set("12ab".encode() + "яюаб".encode()))
