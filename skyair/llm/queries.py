@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyair.llm import chat, decontamination, jaccard, langid, lm, pieces, pii, quality, rules, sharding
+from skyair.llm import (
+    alignment,
+    chat,
+    decontamination,
+    infill,
+    jaccard,
+    langid,
+    linededup,
+    lm,
+    pieces,
+    pii,
+    quality,
+    rules,
+    sharding,
+)
 from skyair.llm.common import read_table, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +101,21 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
     )
     return chat.digest(chat.format_conversations(talks.unionByName(probe)))
+
+
+@query("op11_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_fill_in_middle", infill.ORACLE)
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return infill.digest(infill.transform(docs))
+
+
+@query("op13_line_dedup", linededup.ORACLE)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = linededup.apply(docs, linededup.keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

@@ -1,7 +1,8 @@
 """Plain versions of what the operators compute, one text at a time."""
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from hashlib import sha256
 from math import log10
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -96,3 +97,62 @@ def leaks(docs, items, least=0.8):
                 if s >= least and s > found.get((doc, item), (0,))[0]:
                     found[doc, item] = (s, i)
     return found
+
+
+def alignments(texts):
+    """Per id the columns of token alignment, byte by byte, with both libraries' own ids."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    one = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    one.encode_special_tokens = True
+    two = sentencepiece.SentencePieceProcessor(model_file="/opt/tokenizers/piece_bpe_32k.model")
+    # The byte of every sign: printable ones stand for themselves, the others follow in order from 256.
+    own = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+    signs = {chr(b): b for b in own}
+    signs.update((chr(256 + k), b) for k, b in enumerate(b for b in range(256) if b not in own))
+
+    def pieces_of_one(text):
+        return [(i, bytes(signs[c] for c in one.id_to_token(i))) for i in one.encode(" " + text, add_special_tokens=False).ids]
+
+    def pieces_of_two(text):
+        for i in two.encode(text):
+            piece = two.id_to_piece(i)
+            byte = re.fullmatch("<0x(..)>", piece) if two.is_byte(i) else None
+            yield i, bytes([int(byte[1], 16)]) if byte else piece.replace("\u2581", " ").encode()
+
+    found, counts = {}, Counter()
+    for key, text in texts.items():
+        a, b = (list(pieces_of_one(text)), list(pieces_of_two(text))) if text else ([], [])
+        if any(b"".join(v for _, v in side) != (" " + (text or "")).encode() for side in (a, b)):
+            a, b = [], []
+        owners = [[k for k, (_, v) in enumerate(side) for _ in v] for side in (a, b)]
+        links = [(a[x][0], b[y][0]) for x, y in sorted(set(zip(*owners)))]
+        counts.update(links)
+        ends = [set(), set()]
+        for e, side in zip(ends, (a, b)):
+            at = 0
+            for _, v in side:
+                at += len(v)
+                e.add(at)
+        shared, groups = sorted(ends[0] & ends[1]), defaultdict(lambda: ([], []))
+        for place, side in enumerate((a, b)):
+            at = k = 0
+            for i, v in side:
+                at += len(v)
+                while shared[k] < at:
+                    k += 1
+                groups[shared[k]][place].append(str(i))
+        listed = ";".join(f"{','.join(groups[e][0])}|{','.join(groups[e][1])}" for e in sorted(groups))
+        found[key] = (len(a), len(b), len(groups), links, sha256(listed.encode()).hexdigest() if a else "")
+    most = {}
+    for (_, y), n in counts.items():
+        most[y] = max(n, most.get(y, 0))
+    return {
+        key: {
+            "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": len(links),
+            "n_best": sum(counts[x] == most[x[1]] for x in links), "count_sum": sum(counts[x] for x in links),
+            "groups_sha256": digest,
+        }
+        for key, (n_a, n_b, n_groups, links, digest) in found.items()
+    }

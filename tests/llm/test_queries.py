@@ -45,7 +45,7 @@ def rows(spark):
 
 
 def test_all_are_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     for q in QUERIES.values():
@@ -117,6 +117,13 @@ def test_quality_counts(rows, texts):
         assert got == brute.quality_counts(texts[r.doc_id])
 
 
+def test_aligned_tokens(rows, texts):
+    expected = brute.alignments(texts)
+    found = rows("op11_cross_tokenizer_alignment")[1]
+    assert {r.doc_id: r.asDict() for r in found} == {i: {"doc_id": i, **v} for i, v in expected.items()}
+    assert sum(v["n_groups"] > 0 for v in expected.values()) > 0.9 * len(texts)
+
+
 def test_pipeline(spark, duck, texts):
     """Each stage against a plain version of what it decides, on what the one before it kept."""
     from tests.llm.test_operators import plain_join
