@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -30,8 +31,8 @@ BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs sent to every task: at most this many, the most frequent; 17 bytes each.
 FREQUENT_PAIRS = 1 << 19
-#: Windows a task remembers, and the longest (tokens of one side) it does.
-MEMO_WINDOWS, MEMO_TOKENS = 100_000, 32
+#: Bytes of windows a task remembers, and the longest window (tokens of one side) that is looked up again.
+MEMO_BYTES, MEMO_TOKENS = 64 << 20, 32
 
 #: Fixed value: how the byte-level vocabulary cuts a text before merging.
 _PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -99,53 +100,88 @@ class PieceTokenizer:
         return self.model.encode(text)
 
 
+class Side(NamedTuple):
+    """One tokenizer as arrays by id: bytes of a token, and whether it begins with a space."""
+
+    length: np.ndarray
+    spaced: np.ndarray
+
+    @staticmethod
+    def of(bytes_of: list[bytes]) -> Side:
+        return Side(np.array([len(v) for v in bytes_of], dtype=np.int64), np.array([v[:1] == b" " for v in bytes_of]))
+
+
+def _starts(counts: np.ndarray) -> np.ndarray:
+    return np.cumsum(counts) - counts
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... for every count, one after another."""
+    return np.arange(counts.sum()) - np.repeat(_starts(counts), counts)
+
+
 class Memo:
-    """Windows by their tuples of ids: text of the groups, and numbers of the linked pairs."""
+    """What is inside a window, by its two tuples of ids: text of its groups, and its linked pairs.
 
-    def __init__(self, length_a: np.ndarray, length_b: np.ndarray, most: int = MEMO_WINDOWS) -> None:
-        self.length_a, self.length_b, self.most = length_a, length_b, most
+    Both tuples make one key: the ids of the first side, then those of the second, numbered on from there.
+    """
+
+    def __init__(self, a: Side, b: Side, most: int = MEMO_BYTES) -> None:
+        self.a, self.b, self.most = a, b, most
+        # How an id is written: before another of its group, at the end of it, at the end of its window.
+        self.written = [f"{i}{end}" for i in range(len(a.length)) for end in ",|"]
+        self.written += [f"{i}{end}" for i in range(len(b.length)) for end in ",;\n"]
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[tuple[bytes, bytes], int] = {}
+        self.place: dict[bytes, int] = {}
         self.groups: list[str] = []
-        self.links: list[np.ndarray] = []  # per window: pairs, a id in the upper half
-
-    def of(self, a: bytes, b: bytes) -> int:
-        found = self.place.get((a, b))
-        if found is None:
-            found = len(self.groups)
-            groups, links = aligned(
-                np.frombuffer(a, np.int32), np.frombuffer(b, np.int32), self.length_a, self.length_b
-            )
-            self.groups.append(groups)
-            self.links.append(links)
-            if len(a) <= 4 * MEMO_TOKENS and len(b) <= 4 * MEMO_TOKENS:
-                self.place[a, b] = found
+        self.links: list[bytes] = []  # per window: 64 bits a pair, the first id in the upper half
+        self.held = 0
+
+    def of(self, windows: list[bytes]) -> list[int]:
+        """Numbers of windows, whose ids are 32-bit values; those that are new are aligned."""
+        known = self.place.get
+        found = [known(window, -1) for window in windows]
+        new = dict.fromkeys([window for window, number in zip(windows, found) if number < 0])
+        if new:
+            for number, window in enumerate(new, len(self.groups)):
+                new[window] = number
+                if len(window) <= 8 * MEMO_TOKENS:
+                    self.place[window] = number
+            ids = np.frombuffer(b"".join(new), dtype=np.int32)
+            first = ids < len(self.a.length)
+            sizes = np.fromiter(map(len, new), dtype=np.int64, count=len(new)) // 4
+            n_a = np.add.reduceat(first, _starts(sizes), dtype=np.int64)
+            groups, links = self.aligned(ids[first], ids[~first] - len(self.a.length), n_a, sizes - n_a)
+            self.groups += groups
+            self.links += links
+            self.held += sum(map(len, groups)) + sum(map(len, links)) + 4 * len(ids) + 300 * len(new)
+            found = [new[window] if number < 0 else number for window, number in zip(windows, found)]
         return found
 
+    def aligned(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[list[str], list[bytes]]:
+        """Groups and linked pairs of windows that stand one after another on both sides."""
+        ends_a, ends_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
+        marks = np.zeros(int(ends_a[-1]) + 1, dtype=np.uint8)
+        marks[ends_a] |= 1
+        marks[ends_b] |= 2
+        last_a, last_b = (marks[ends] == 3 for ends in (ends_a, ends_b))  # of their group
+        ending = last_b.astype(np.int64)
+        ending[np.cumsum(n_b) - 1] = 2
+        codes = np.concatenate([2 * a + last_a, 2 * len(self.a.length) + 3 * b + ending])
+        groups = np.concatenate([2 * (np.cumsum(last_a) - last_a), 2 * (np.cumsum(last_b) - last_b) + 1])
+        written = self.written
+        text = "".join([written[c] for c in codes[np.argsort(groups, kind="stable")].tolist()])
+        # A token meets those of the other side from the one its first byte is in to that of its last.
+        first = np.searchsorted(ends_b, ends_a - self.a.length[a], side="right")
+        times = np.searchsorted(ends_b, ends_a, side="left") - first + 1
+        pairs = (np.repeat(a.astype(np.int64), times) << 32 | b[_within(times) + np.repeat(first, times)]).tobytes()
+        edges = [0, *(8 * np.cumsum(np.add.reduceat(times, _starts(n_a)))).tolist()]
+        return text.split("\n")[:-1], [pairs[p:q] for p, q in zip(edges[:-1], edges[1:])]
+
     def full(self) -> bool:
-        return len(self.groups) > self.most
-
-
-def aligned(a: np.ndarray, b: np.ndarray, length_a: np.ndarray, length_b: np.ndarray) -> tuple[str, np.ndarray]:
-    """Groups of two id lists over the same bytes as text, and all pairs of tokens that overlap."""
-    ends_a, ends_b = np.cumsum(length_a[a]), np.cumsum(length_b[b])
-    shared = np.intersect1d(ends_a, ends_b)
-    cuts_a = [0, *(np.searchsorted(ends_a, shared, side="right")).tolist()]
-    cuts_b = [0, *(np.searchsorted(ends_b, shared, side="right")).tolist()]
-    ids_a, ids_b = a.tolist(), b.tolist()
-    groups = ";".join(
-        f"{','.join(map(str, ids_a[p:q]))}|{','.join(map(str, ids_b[r:s]))}"
-        for p, q, r, s in zip(cuts_a[:-1], cuts_a[1:], cuts_b[:-1], cuts_b[1:])
-    )
-    # Token i of the first meets the tokens of the second from the one its first byte is in to that of its last.
-    first = np.searchsorted(ends_b, ends_a - length_a[a], side="right")
-    last = np.searchsorted(ends_b, ends_a, side="left")
-    times = last - first + 1
-    left = np.repeat(np.arange(len(a)), times)
-    right = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
-    return groups, a[left].astype(np.int64) << 32 | b[right]
+        return self.held > self.most
 
 
 class Tokenizers(NamedTuple):
@@ -163,46 +199,43 @@ def load_tokenizers(byte_path: str = BYTE_TOKENIZER, piece_path: str = PIECE_TOK
 class Aligner:
     """Tokenises and aligns texts, many at a time."""
 
-    def __init__(self, files: Tokenizers, memo_windows: int = MEMO_WINDOWS) -> None:
+    def __init__(self, files: Tokenizers, memo_bytes: int = MEMO_BYTES) -> None:
         self.a, self.b = ByteTokenizer(files.byte_file), PieceTokenizer(files.piece_file)
-        lengths = [np.array([len(v) for v in t.bytes_of], dtype=np.int64) for t in (self.a, self.b)]
-        self.length_a, self.length_b = lengths
-        self.spaced_a, self.spaced_b = (np.array([v[:1] == b" " for v in t.bytes_of]) for t in (self.a, self.b))
-        self.memo = Memo(*lengths, memo_windows)
+        self.memo = Memo(Side.of(self.a.bytes_of), Side.of(self.b.bytes_of), memo_bytes)
 
     def ids(self, text: str | None) -> tuple[list[int], list[int]]:
         """Both id lists; empty ones unless both spell a space and the text."""
         if not text:
             return [], []
         whole = (" " + text).encode()
-        a = self.a.encode(" " + text)
-        if b"".join([self.a.bytes_of[i] for i in a]) != whole:
-            return [], []
-        b = self.b.encode(text)
-        return (a, b) if b"".join([self.b.bytes_of[i] for i in b]) == whole else ([], [])
+        a, b = self.a.encode(" " + text), self.b.encode(text)
+        exact = all(b"".join(map(t.bytes_of.__getitem__, ids)) == whole for t, ids in ((self.a, a), (self.b, b)))
+        return (a, b) if exact else ([], [])
 
     def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[int], np.ndarray]:
         """Tokens per text on either side, the memo's number of every window, and windows per text."""
         pairs = [self.ids(text) for text in texts]
         n_a, n_b = (np.array([len(p[k]) for p in pairs], dtype=np.int64) for k in (0, 1))
-        a, b = (np.array([i for p in pairs for i in p[k]], dtype=np.int32) for k in (0, 1))
+        ids = (chain.from_iterable(p[k] for p in pairs) for k in (0, 1))
+        a, b = (np.fromiter(side, dtype=np.int32, count=n.sum()) for side, n in zip(ids, (n_a, n_b)))
         if not len(a):
             return n_a, n_b, [], np.zeros(len(texts), np.int64)
         # Both sides spell the same bytes, so positions are the same on both.
-        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        size = int(ends_a[-1]) + 1
-        marks = np.zeros(size, dtype=np.uint8)
+        side_a, side_b = self.memo.a, self.memo.b
+        ends_a, ends_b = np.cumsum(side_a.length[a]), np.cumsum(side_b.length[b])
+        marks = np.zeros(int(ends_a[-1]) + 1, dtype=np.uint8)
         marks[ends_a] |= 1
         marks[ends_b] |= 2
-        marks[(ends_a - self.length_a[a])[self.spaced_a[a]]] |= 4
-        marks[(ends_b - self.length_b[b])[self.spaced_b[b]]] |= 8
+        marks[(ends_a - side_a.length[a])[side_a.spaced[a]]] |= 4
+        marks[(ends_b - side_b.length[b])[side_b.spaced[b]]] |= 8
         text_ends = ends_a[np.cumsum(n_a)[n_a > 0] - 1]
         marks[text_ends] = 15
         anchors = np.flatnonzero(marks == 15)
-        cuts_a = [0, *(4 * np.searchsorted(ends_a, anchors, side="right")).tolist()]
-        cuts_b = [0, *(4 * np.searchsorted(ends_b, anchors, side="right")).tolist()]
-        bytes_a, bytes_b, of = a.tobytes(), b.tobytes(), self.memo.of
-        found = [of(bytes_a[p:q], bytes_b[r:s]) for p, q, r, s in zip(cuts_a[:-1], cuts_a[1:], cuts_b[:-1], cuts_b[1:])]
+        window_of = np.cumsum(marks == 15) - (marks == 15)  # number of the window that ends at or after a position
+        order = np.argsort(np.concatenate([2 * window_of[ends_a], 2 * window_of[ends_b] + 1]), kind="stable")
+        both = np.concatenate([a, b + len(side_a.length)])[order].astype(np.int32).tobytes()
+        cuts = [0, *(4 * (np.searchsorted(ends_a, anchors, "right") + np.searchsorted(ends_b, anchors, "right"))).tolist()]
+        found = self.memo.of([both[p:q] for p, q in zip(cuts[:-1], cuts[1:])])
         per_text = np.zeros(len(texts), dtype=np.int64)
         per_text[n_a > 0] = np.diff(np.searchsorted(anchors, text_ends, side="right"), prepend=0)
         return n_a, n_b, found, per_text
@@ -215,24 +248,21 @@ class Aligner:
         groups = [";".join([memo.groups[w] for w in found[p:q]]) for p, q in zip([0, *stops], stops)]
         used, place = np.unique(np.array(found, dtype=np.int64), return_inverse=True)
         links = [memo.links[w] for w in used.tolist()]
-        sizes = np.array([len(v) for v in links], dtype=np.int64)
-        flat = np.concatenate(links) if links else np.zeros(0, np.int64)
-        listed, number = np.unique(flat, return_inverse=True)
+        sizes = np.array([len(v) // 8 for v in links], dtype=np.int64)
+        listed, number = np.unique(np.frombuffer(b"".join(links), dtype=np.int64), return_inverse=True)
         times = sizes[place]
-        starts = (np.cumsum(sizes) - sizes)[place]
-        own = number[np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(starts, times)]
+        own = number[_within(times) + np.repeat(_starts(sizes)[place], times)]
         owner = np.repeat(np.repeat(np.arange(len(texts)), per_text), times)
-        cells, counts = np.unique(owner * max(1, len(listed)) + own, return_counts=True)
-        owner_of = cells // max(1, len(listed))
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(owner_of, minlength=len(texts)))]).astype(np.int32)
+        width = max(1, len(listed))
+        cells, counts = np.unique(owner * width + own, return_counts=True)
+        offsets = np.searchsorted(cells, width * np.arange(len(texts) + 1)).astype(np.int32)
         if memo.full():
             memo.clear()
-        n_links = np.bincount(owner_of, weights=counts, minlength=len(texts)).astype(np.int64)
         return {
             "n_a": pa.array(n_a), "n_b": pa.array(n_b),
             "n_groups": pa.array(np.array([g.count("|") for g in groups], dtype=np.int64)),
-            "n_links": pa.array(n_links), "groups": pa.array(groups, pa.string()),
-            "pairs": pa.ListArray.from_arrays(offsets, pa.array(listed[cells % max(1, len(listed))])),
+            "n_links": pa.array(np.bincount(owner, minlength=len(texts))), "groups": pa.array(groups, pa.string()),
+            "pairs": pa.ListArray.from_arrays(offsets, pa.array(listed[cells % width])),
             "times": pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32))),
         }
 
@@ -243,7 +273,7 @@ _RESULTS = {
 }
 
 
-def align(df: DataFrame, files: Tokenizers | None = None, text: str = "text", memo_windows: int = MEMO_WINDOWS) -> DataFrame:
+def align(df: DataFrame, files: Tokenizers | None = None, text: str = "text", memo_bytes: int = MEMO_BYTES) -> DataFrame:
     """``df`` without its text, plus tokens, groups and links of every whole text.
 
     ``n_a``, ``n_b``: tokens on either side. ``groups``: ``a1,a2|b1;a3|b2,b3``, ids in order. ``n_links``:
@@ -256,7 +286,7 @@ def align(df: DataFrame, files: Tokenizers | None = None, text: str = "text", me
     kept = [c for c in df.columns if c not in (*_RESULTS, text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(shared.value, memo_windows)
+        aligner = Aligner(shared.value, memo_bytes)
         for batch in batches:
             for part in chunks(batch, "__text", 1 << 19):
                 results = aligner.rows(part.column("__text").to_pylist())

@@ -32,11 +32,16 @@ def remainder(name: str, modulus: int) -> Column:
     return (F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % modulus).cast("int")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage at a copy that outlives executors."""
+def stored_in(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``stored``, and the folder, for tables that can be removed once their successor is written."""
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage at a copy that outlives executors."""
+    return stored_in(df, purpose)[0]
 
 
 # ---------------------------------------------------------------- text in Arrow batches

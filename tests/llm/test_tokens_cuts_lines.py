@@ -46,8 +46,8 @@ def test_alignment_of_repeated_rows_and_empty_tables(spark):
 def test_memo_may_be_emptied_at_any_time(spark):
     docs = table(spark, [(k, " ".join(f"w{k}{i} über" for i in range(50)), None) for k in range(40)])
     small, large = (
-        {r.doc_id: (r.groups, dict(zip(r.pairs, r.times))) for r in alignment.align(docs, memo_windows=n).collect()}
-        for n in (1, 100_000)
+        {r.doc_id: (r.groups, dict(zip(r.pairs, r.times))) for r in alignment.align(docs, memo_bytes=n).collect()}
+        for n in (1, alignment.MEMO_BYTES)
     )
     assert small == large
 
