@@ -1,13 +1,17 @@
-"""Deduplication, required columns, range checks and their row audit."""
+"""Deduplication, required columns, range checks, rejects by reason and the row audit."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyair.operators.ranking import newest_first, oldest_first, top_per_key
+from skyair.operators.ranking import TASK_SALTS, newest_first, oldest_first, top_per_key
+
+REASON = "reason"
+KEPT, DUPLICATE, MISSING, OUT_OF_RANGE, CORRUPT_LINE = "kept", "duplicate", "missing", "out_of_range", "corrupt"
+_FAULT, _LEADS, _SALT, _RANK = "__fault", "__leads", "__salt", "__rank"
 
 
 class MissingColumns(ValueError):
@@ -95,6 +99,76 @@ def clean(
     return filtered(_survivors(df, keys, newest, keep_first, tiebreak))
 
 
+def _complete(df: DataFrame, required: Sequence[str]) -> Column:
+    complete = F.lit(True)
+    for name in required:
+        present = F.col(name).isNotNull()
+        if df.schema[name].dataType.typeName() in ("double", "float"):
+            present = present & ~F.isnan(name)
+        complete = complete & present
+    return complete
+
+
+def fault_of(df: DataFrame, required: Sequence[str], valid: Column | None = None, corrupt: str | None = None) -> Column:
+    """Why a row on its own cannot stay (``corrupt``, ``missing``, ``out_of_range``); null if it can."""
+    broken = F.col(corrupt).isNotNull() if corrupt in df.columns else F.lit(False)
+    fault = F.when(broken, CORRUPT_LINE).when(~_complete(df, required), MISSING)
+    return fault if valid is None else fault.when(~valid, OUT_OF_RANGE)
+
+
+def route(
+    df: DataFrame,
+    keys: Sequence[str] | None,
+    required: Sequence[str],
+    valid: Column | None = None,
+    newest: Sequence[str] = (),
+    tiebreak: Sequence[str] | None = None,
+    keep_first: bool = False,
+    validate_first: bool = False,
+    corrupt: str | None = None,
+) -> DataFrame:
+    """C6 and C7 in one pass: every row of ``df`` and its ``reason``.
+
+    The rows that are ``kept`` are those of ``clean``; all others say why they are not: ``duplicate``,
+    ``missing``, ``out_of_range``, or ``corrupt`` where the column of that name holds a line's text. Such
+    lines have no key and take no part in the dedup. As no row may be pruned, the copies of a key are
+    ranked per input partition first, and only its best row of each meets the others.
+    """
+    _check_columns(df, [*(keys or ()), *required, *newest])
+    keys = list(keys) if keys else [name for name in df.columns if name != corrupt]
+    broken = F.col(corrupt).isNotNull() if corrupt in df.columns else F.lit(False)
+    competes = F.col(_FAULT).isNull() if validate_first else ~broken
+    order = (oldest_first if keep_first else newest_first)(df, keys, newest, tiebreak)
+    rows = df.withColumn(_FAULT, fault_of(df, required, valid, corrupt)).withColumn(_LEADS, competes)
+    rows = rows.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(TASK_SALTS)))
+
+    def ranked(rows: DataFrame, salt: Column) -> DataFrame:
+        # Without columns to order by, only equal rows meet.
+        window = Window.partitionBy(*keys, _LEADS, salt).orderBy(*(order or [F.lit(0)]))
+        return rows.withColumn(_RANK, F.row_number().over(window))
+
+    rows = ranked(rows, F.col(_SALT)).withColumn(_LEADS, F.col(_LEADS) & (F.col(_RANK) == 1))
+    rows = ranked(rows, F.when(~F.col(_LEADS), F.col(_SALT)))
+    survives = F.col(_LEADS) & (F.col(_RANK) == 1)
+    reason = F.when(survives, F.coalesce(F.col(_FAULT), F.lit(KEPT))).when(competes, DUPLICATE).otherwise(F.col(_FAULT))
+    return rows.withColumn(REASON, reason).drop(_FAULT, _LEADS, _SALT, _RANK)
+
+
+def audit_of(counts: DataFrame) -> DataFrame:
+    """C7 from counts (reason, rows) of what ``route`` gave: the row that ``audit`` works out from bronze.
+
+    Corrupt lines leave with the incomplete rows; all of them are counted, as they are no copies.
+    """
+    rows = lambda *reasons: F.coalesce(F.sum(F.when(F.col(REASON).isin(*reasons), F.col("rows"))), F.lit(0)).cast("bigint")
+    stages = {
+        "rows_before": (KEPT, OUT_OF_RANGE, MISSING, CORRUPT_LINE, DUPLICATE),
+        "rows_after_dedup": (KEPT, OUT_OF_RANGE, MISSING, CORRUPT_LINE),
+        "rows_after_nulls": (KEPT, OUT_OF_RANGE),
+        "rows_after_range": (KEPT,),
+    }
+    return counts.agg(*(rows(*reasons).alias(name) for name, reasons in stages.items()))
+
+
 def audit(
     df: DataFrame,
     keys: Sequence[str] | None,
@@ -112,12 +186,7 @@ def audit(
     its rows twice.
     """
     _check_columns(df, [*(keys or ()), *required, *newest])
-    complete = F.lit(True)
-    for name in required:
-        present = F.col(name).isNotNull()
-        if df.schema[name].dataType.typeName() in ("double", "float"):
-            present = present & ~F.isnan(name)
-        complete = complete & present
+    complete = _complete(df, required)
     sound = complete if valid is None else complete & valid
 
     def stages(before, dedup, nulls, ranges):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyair.operators.skew import lookup_join
-from skyair.schemas import BOXES
+from skyair.schemas import BOXES, LONGITUDE_RANGE
 
 
 def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -65,8 +65,13 @@ def place_boxes(boxes: DataFrame, cell: float = 1.0) -> PlacedBoxes:
     """Put every box on the level whose cells are at least as long as its longer side.
 
     Level k has cells of ``cell`` * 2^k degrees, so a box touches about four cells whatever its size. A
-    box whose minimum lies above its maximum contains nothing. One small job finds the levels in use.
+    box whose western edge lies east of its eastern one runs over the date line: it is placed as two, which
+    share no point. One whose southern edge lies north of its northern one contains nothing. One small job
+    finds the levels in use.
     """
+    over = boxes.filter(F.col("lomin") > F.col("lomax"))
+    for edge, end in (("lomax", LONGITUDE_RANGE[1]), ("lomin", LONGITUDE_RANGE[0])):
+        boxes = boxes.unionByName(over.withColumn(edge, F.lit(end)))
     side = F.greatest(F.col("lamax") - F.col("lamin"), F.col("lomax") - F.col("lomin"), F.lit(cell))
     level = F.ceil(F.log2(side / F.lit(cell))).cast("int")
     sound = boxes.filter((F.col("lamin") <= F.col("lamax")) & (F.col("lomin") <= F.col("lomax")))

@@ -12,13 +12,14 @@ from pyspark.sql import types as T
 from skyair import schemas
 from skyair.functions.predicates import valid_position, valid_reading
 from skyair.functions.times import parse_utc, utc_day
-from skyair.operators.cleaning import audit, clean
+from skyair.operators.cleaning import audit
 from skyair.operators.quality import load_checks, require_schema
 from skyair.plans.models import GROUPS, build_models, default_models
-from skyair.sources.readers import optional, read_json_lines, read_parquet_declared, read_parquet_files
-from skyair.sources.writers import load_table, write_snapshot
+from skyair.plans.refining import EVENT_DATE, refine_new_files, refine_whole
+from skyair.sources.folders import recover
+from skyair.sources.readers import CORRUPT, Paths, optional, read_json_lines, read_parquet_declared, read_parquet_files
+from skyair.sources.writers import load_table
 
-EVENT_DATE = "event_date"
 CHECKS = "load_checks"
 
 
@@ -27,7 +28,7 @@ class Source:
     """How one source is read and cleaned. ``valid`` makes its predicate when a session exists."""
 
     name: str
-    read: Callable[[SparkSession, str], DataFrame]
+    read: Callable[[SparkSession, Paths], DataFrame]
     keys: tuple[str, ...]
     required: tuple[str, ...]
     valid: Callable[[], Column]
@@ -51,23 +52,24 @@ class Source:
         }
 
 
-def _read_readings(spark: SparkSession, path: str) -> DataFrame:
+def _read_readings(spark: SparkSession, path: Paths) -> DataFrame:
     # Loads may bring columns that earlier ones lack, such as units: they are carried along.
     return read_parquet_declared(spark, path, schemas.READINGS)
 
 
-def _read_flights(spark: SparkSession, path: str) -> DataFrame:
-    # A line that does not parse is a row of nulls here and falls to the required columns.
-    return read_json_lines(spark, path, schemas.FLIGHTS).select(*schemas.FLIGHTS.names)
+def _read_flights(spark: SparkSession, path: Paths) -> DataFrame:
+    # A line that does not parse keeps its text, and goes to the rejects.
+    return read_json_lines(spark, path, schemas.FLIGHTS).select(*schemas.FLIGHTS.names, CORRUPT)
 
 
-def _read_readings_variant(spark: SparkSession, path: str) -> DataFrame:
+def _read_readings_variant(spark: SparkSession, path: Paths) -> DataFrame:
     # Files are named by the time they were written, so the file name is the order of arrival.
     lines = read_json_lines(spark, path, schemas.READINGS_VARIANT)
     time = parse_utc(F.col("datetime_from_utc"))
     return lines.select(
         *(time.alias(name) if name == "datetime_from_utc" else name for name in schemas.READINGS_VARIANT.names),
         F.col("_metadata.file_name").alias("source_file"),
+        CORRUPT,
     )
 
 
@@ -126,24 +128,46 @@ def refine(
     by_day: bool = True,
     sources: Collection[Source] = SOURCES,
 ) -> list[str]:
-    """Clean ``lake/bronze/<source>`` into a snapshot ``lake/silver/<source>``, one job per source.
+    """Clean ``lake/bronze/<source>`` into a snapshot ``lake/silver/<source>``, one pass per source.
 
-    Snapshots are partitioned by event day, so that queries over some days read only those; ``by_day``
-    turns that off for a long history of few rows, where it would leave a folder of crumbs per day. A
-    source without readable bronze is skipped. Returns the names of the sources written.
+    Rows that do not stay go to ``lake/rejects/<source>`` by reason, so nothing vanishes and
+    ``refining.stored_audit`` counts every step from what was written. Snapshots are partitioned by event
+    day, so that queries over some days read only those; ``by_day`` turns that off for a long history of few
+    rows, where it would leave a folder of crumbs per day. A source without readable bronze is skipped.
+    Returns the names of the sources written.
     """
     written = []
     for source in _chosen(names, sources):
         bronze = optional(lambda: source.read(spark, f"{lake}/bronze/{source.name}"), source.name)
         if bronze is None:
             continue
-        silver = clean(bronze, **source.rules(), validate_first=validate_first)
-        silver = silver.withColumn(EVENT_DATE, utc_day(silver, source.time))
-        write_snapshot(silver, f"{lake}/silver/{source.name}", [EVENT_DATE] if by_day else [])
+        refine_whole(bronze, lake, source.name, source.rules(), source.time, validate_first, by_day)
         written.append(source.name)
     return written
 
 
+def refine_new(
+    spark: SparkSession,
+    lake: str,
+    names: Collection[str] | None = None,
+    validate_first: bool = False,
+    sources: Collection[Source] = SOURCES,
+) -> list[str]:
+    """As ``refine``, but clean only the event days that files new in bronze touch.
+
+    Returns the names of the sources that had new files. ``validate_first`` has to be the same in all runs.
+    """
+    written = []
+    for source in _chosen(names, sources):
+        bronze = optional(lambda: source.read(spark, f"{lake}/bronze/{source.name}"), source.name)
+        if bronze is None:
+            continue
+        read = lambda files: source.read(spark, files)  # noqa: E731, B023
+        if refine_new_files(bronze, read, lake, source.name, source.rules(), source.time, validate_first):
+            written.append(source.name)
+    return written
+
+
 def audit_source(spark: SparkSession, lake: str, source: Source) -> DataFrame | None:
     """Row counts of each cleaning step over a source's bronze (C7); None if there is none to read."""
     bronze = optional(lambda: source.read(spark, f"{lake}/bronze/{source.name}"), source.name)
@@ -161,10 +185,12 @@ def load_silver(
     loaded = {}
     for source in _chosen(names, sources):
         path = f"{lake}/silver/{source.name}"
+        recover(spark, path)
         # Silver is read as a partitioned table, so the day folders come back as a column.
         silver = optional(lambda: read_parquet_files(spark, path), source.name)
         if silver is None:
             continue
+        silver = silver.drop(CORRUPT)  # null in every row that was kept
         if source.declared is not None:
             require_schema(silver.select(*(n for n in source.declared.names if n in silver.columns)), source.declared)
         table = f"{source.name}_processed"
@@ -214,14 +240,20 @@ def build(
     by_day: bool = True,
     validate_first: bool = False,
     countries: DataFrame | None = None,
+    new_only: bool = False,
 ) -> list[str]:
     """Bronze to marts for the chosen sources; returns the names of the marts built.
 
+    ``new_only`` refines what is new in bronze (``refine_new``) instead of all of it.
+
     The loaded tables are checked before a mart reads them and the results stored as ``load_checks``; a
     table whose schema differs from the declared one stops the build. ``countries`` (alias, country)
     brings both sides of the correlation to one form of country name.
     """
-    refine(spark, lake, names, validate_first, by_day)
+    if new_only:
+        refine_new(spark, lake, names, validate_first)
+    else:
+        refine(spark, lake, names, validate_first, by_day)
     tables = load_silver(spark, lake, names, save)
     check_loaded(spark, tables, save)
     staging = {f"staging_{source}": spark.table(table) for source, table in tables.items()}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,13 +21,20 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A directory of JSON-lines with a declared schema; blank lines are skipped.
+Paths = str | Sequence[str]
+
+
+def _listed(paths: Paths) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def read_json_lines(spark: SparkSession, path: Paths, schema: T.StructType) -> DataFrame:
+    """A directory (or files) of JSON-lines with a declared schema; blank lines are skipped.
 
     A line that does not parse, or holds a value of the wrong type, keeps its text in ``_corrupt_record``;
     ``split_corrupt`` separates such lines.
     """
-    return spark.read.schema(with_corrupt_column(schema)).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return spark.read.schema(with_corrupt_column(schema)).option("columnNameOfCorruptRecord", CORRUPT).json(_listed(path))
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -41,20 +48,20 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def read_parquet_files(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_parquet_files(spark: SparkSession, path: Paths, schema: T.StructType | None = None) -> DataFrame:
     """The ``.parquet`` files of a directory as one table; other files there are ignored."""
     reader = spark.read.option("pathGlobFilter", "*.parquet")
-    return (reader.schema(schema) if schema else reader).parquet(path)
+    return (reader.schema(schema) if schema else reader).parquet(*_listed(path))
 
 
-def read_parquet_declared(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
+def read_parquet_declared(spark: SparkSession, path: Paths, declared: T.StructType) -> DataFrame:
     """S2 with a declared schema: its columns first, then every other column any file has, by name.
 
     All footers are merged, so what comes back does not depend on which file is looked at first. A
     declared column that no file has is null; one of another type raises ``SchemaMismatch``.
     """
     reader = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", "true")
-    merged = {field.name: field for field in reader.parquet(path).schema.fields}
+    merged = {field.name: field for field in reader.parquet(*_listed(path)).schema.fields}
     present = T.StructType([merged.get(f.name, f) for f in declared.fields])
     require_schema(spark.createDataFrame([], present), declared)
     names = set(declared.names)

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyair.sources.folders import publish, staged_beside
 
 # Spark's default for JSON text drops everything below the millisecond. Fixed formats; readers need none.
 JSON_OPTIONS = {
@@ -19,9 +20,18 @@ JSON_OPTIONS = {
 def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Afterwards ``path`` holds exactly the rows of ``df`` as parquet, also if there are none.
 
-    With ``partition_by`` the rows are rebalanced on those columns: each value lands in few files of
-    fair size, and a value with many rows is split over several tasks.
+    The rows are written beside ``path`` and take its place when the job has ended, so a job that dies
+    leaves the old snapshot. ``df`` may read ``path`` itself. With ``partition_by`` the rows are rebalanced
+    on those columns: each value lands in few files of fair size, and a value with many rows is split
+    over several tasks.
     """
+    staged = staged_beside(path)
+    write_staged(df, staged, partition_by)
+    publish(df.sparkSession, staged, path)
+
+
+def write_staged(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """The files of a snapshot, which replace whatever an earlier job left at ``path``."""
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return

@@ -15,11 +15,15 @@ from skyair.operators.cleaning import clean, keep_valid, require
 from skyair.operators.ranking import spread, tiebreak_columns
 from skyair.operators.selection import latest
 from skyair.schemas import FLUSH_SECONDS
-from skyair.streaming.landing import _triggered, batch_folder
+from skyair.sources.folders import matching, recover, remove
+from skyair.sources.writers import write_snapshot
+from skyair.streaming.landing import Batches, _triggered
 
 _SALT = "__salt"
 STREAM_SALTS = 1
 _CHANGES, _SNAPSHOT, _HELD = "changes", "snapshot", "held"
+#: How long a replaced snapshot and its batches stay for those who still read them.
+GRACE_SECONDS = 3600.0
 
 
 def clean_stream(
@@ -36,7 +40,8 @@ def clean_stream(
 
     ``time`` must be one of the keys, so that state older than the watermark (``lateness`` behind the
     newest event) is dropped exactly. Rows later than that do not reach the result: ``late_rows`` finds them
-    in bronze, and appending them makes silver equal to the batch form. The dedup runs first per key
+    in bronze, and appending them makes silver equal to the batch form (``silver.maintain_silver`` does
+    both as it goes, reading no bronze). The dedup runs first per key
     and salt, then per key, so copies of one key arriving over many input partitions do not all go to
     one task. ``salts=1`` turns that off.
     """
@@ -79,8 +84,10 @@ def maintain_latest(
     changed keys are written, never the whole table.
     """
 
+    batches = Batches(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(batch_folder(batch.sparkSession, f"{path}/{_CHANGES}", checkpoint, batch_id))
+        batch.write.mode("overwrite").parquet(batches.folder(batch.sparkSession, f"{path}/{_CHANGES}", batch_id))
 
     writer = latest_stream(stream, key, time).writeStream.outputMode("update").foreachBatch(write)
     return _triggered(writer.option("checkpointLocation", checkpoint), seconds).start()
@@ -91,6 +98,7 @@ def _snapshots(spark: SparkSession, path: str) -> tuple[str | None, dict[str, in
 
     The list of batches is written after the snapshot's rows, so an unfinished snapshot has none.
     """
+    recover(spark, f"{path}/{_HELD}")
     try:
         done = spark.read.parquet(f"{path}/{_HELD}")
     except AnalysisException:
@@ -112,11 +120,14 @@ def read_latest(spark: SparkSession, path: str, key: str, time: str) -> DataFram
     return latest(rows, [key], time)
 
 
-def compact_latest(spark: SparkSession, path: str, key: str, time: str) -> None:
-    """Write the latest rows as a snapshot, from which readers start; older batches can be deleted then.
+def compact_latest(spark: SparkSession, path: str, key: str, time: str, grace_seconds: float = GRACE_SECONDS) -> None:
+    """Write the latest rows as a snapshot, from which readers start, and delete what it has replaced.
 
     The last batch of each query is left out, because it may still be written or replayed. The merge is a
-    maximum, so a batch that is both in the snapshot and read again changes nothing.
+    maximum, so a batch that is both in the snapshot and read again changes nothing. Deleting takes two
+    steps: a snapshot and the batches in it go with a later compaction, once there is a newer snapshot and
+    the grace time for those who may still read the old one is over. So the log holds the batches of about
+    two compactions and of the grace time, however long the query runs.
     """
     last = (
         spark.read.parquet(f"{path}/{_CHANGES}")
@@ -139,6 +150,24 @@ def compact_latest(spark: SparkSession, path: str, key: str, time: str) -> None:
     latest(rows, [key], time).write.parquet(f"{path}/{_SNAPSHOT}/{name}")
     listed = spark.createDataFrame([(name, q, b) for q, b in held.items()], "snapshot string, query_id string, batch_id bigint")
     listed.coalesce(1).write.mode("append").parquet(f"{path}/{_HELD}")
+    _delete_replaced(spark, path, grace_seconds)
+
+
+def _delete_replaced(spark: SparkSession, path: str, grace_seconds: float) -> None:
+    """Delete the snapshots before the newest that are older than the grace time, and the batches in them."""
+    done = spark.read.parquet(f"{path}/{_HELD}").collect()  # one row per snapshot that is left and query
+    newest = max(row.snapshot for row in done)
+    limit = time_ns() - grace_seconds * 1e9
+    old = [row for row in done if row.snapshot < newest and int(row.snapshot) <= limit]
+    for row in old:
+        for folder in matching(spark, f"{path}/{_CHANGES}/query_id={row.query_id}/batch_id=*"):
+            if int(folder.rpartition("=")[2]) <= row.batch_id:
+                remove(spark, folder)
+    for name in {row.snapshot for row in old}:
+        remove(spark, f"{path}/{_SNAPSHOT}/{name}")
+    if old:
+        left = spark.createDataFrame([row for row in done if row not in old], "snapshot string, query_id string, batch_id bigint")
+        write_snapshot(left.coalesce(1), f"{path}/{_HELD}")
 
 
 def late_rows(

@@ -24,9 +24,20 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
-def batch_folder(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> str:
-    """Where a batch is written: two queries on one path never meet, a replayed batch meets itself."""
-    return f"{path}/query_id={query_id(spark, checkpoint)}/batch_id={batch_id}"
+class Batches:
+    """Names of the batches of the query behind a checkpoint; its id is read once."""
+
+    def __init__(self, checkpoint: str) -> None:
+        self.checkpoint, self.id = checkpoint, None
+
+    def query(self, spark: SparkSession) -> str:
+        if self.id is None:  # the first batch: the query has written its id by then
+            self.id = query_id(spark, self.checkpoint)
+        return self.id
+
+    def folder(self, spark: SparkSession, path: str, batch_id: int) -> str:
+        """Where a batch is written: two queries on one path never meet, a replayed batch meets itself."""
+        return f"{path}/query_id={self.query(spark)}/batch_id={batch_id}"
 
 
 def land(
@@ -67,6 +78,7 @@ def land_states(
     folder as one table.
     """
     placed = None if boxes is None else place_boxes(boxes)
+    batches = Batches(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -76,8 +88,8 @@ def land_states(
             if placed is not None:
                 good = tag_regions(good, placed)
             bad = parsed.filter("NOT well_formed").drop("parsed", "well_formed")
-            good.write.mode("overwrite").options(**JSON_OPTIONS).json(batch_folder(spark, path, checkpoint, batch_id))
-            bad.write.mode("overwrite").json(batch_folder(spark, quarantine, checkpoint, batch_id))
+            good.write.mode("overwrite").options(**JSON_OPTIONS).json(batches.folder(spark, path, batch_id))
+            bad.write.mode("overwrite").json(batches.folder(spark, quarantine, batch_id))
         finally:
             parsed.unpersist()
 

@@ -12,8 +12,9 @@ from skyair.operators.joining import parse_boxes
 from skyair.operators.selection import latest
 from skyair.plans.medallion import refine
 from skyair.schemas import FLIGHTS
-from skyair.streaming.incremental import clean_stream, latest_stream, maintain_latest, read_latest
-from skyair.streaming.landing import land, land_states
+from skyair.streaming.incremental import clean_stream, compact_latest, latest_stream, maintain_latest, read_latest
+from skyair.streaming.landing import land, land_states, query_id
+from skyair.streaming.silver import LATE, maintain_silver, merge_late, read_silver, touched_days, watermark_of
 from skyair.streaming.states import parse_states
 
 RECORDS = "icao24 string, observed_at timestamp, value double, arrival int"
@@ -202,3 +203,66 @@ def test_malformed_payloads_give_no_rows(spark):
     good = '{"time": 1, "states": [["a"]]}'
     rows = [('{"time": "x", "states": [["b"]]}',), ('{"states": [["c"]]}',), (good,), ("{",), (None,)]
     assert tuples(unpack_states(spark.createDataFrame(rows, "value string")), "icao24") == [("a",)]
+
+
+@pytest.mark.parametrize("validate_first", [False, True])
+@pytest.mark.parametrize("salts", [1, 16])
+def test_silver_takes_late_rows_in(spark, feed, paths, rules, validate_first, salts):
+    rng = random.Random(11)
+    source, everything = feed(), []
+    for batch, day in enumerate([1, 4, 2, 5, 1, 9]):  # whole days behind the watermark, and on time
+        keys = rng.sample([(i, d, t) for i in ("a", "b", None) for d in (day, 4) for t in range(4)], 14)
+        rows = [
+            (i, at("2026-01-01") + timedelta(days=d, hours=t), rng.choice([1.0, -1.0, 2.0, None]), batch * 100 + n)
+            for n, (i, d, t) in enumerate(keys)
+        ]
+        source.add(rows)
+        everything += rows
+    args = (source.stream(), paths("silver"), paths("cp"), KEYS, "observed_at", "1 hour")
+    for _ in range(2):
+        run(maintain_silver(*args, arrival=["arrival"], validate_first=validate_first, salts=salts, seconds=None, **rules))
+    expected = clean(
+        spark.createDataFrame(everything, RECORDS), KEYS, newest=["arrival"], keep_first=True, validate_first=validate_first, **rules
+    )
+    found = read_silver(spark, paths("silver"))
+    assert tuples(found, *expected.columns) == tuples(expected)
+    assert found.filter(F.col("event_date") != F.to_date("observed_at")).count() == 0
+    assert read_silver(spark, paths("silver"), LATE).count() >= 10
+    if not validate_first:
+        rejected = read_silver(spark, paths("silver"), "missing").count() + read_silver(spark, paths("silver"), "out_of_range").count()
+        assert found.count() + rejected == spark.createDataFrame(everything, RECORDS).select(*KEYS).distinct().count()
+
+
+def test_late_rows_are_merged_into_their_days_only(spark, feed, paths, rules):
+    source = feed()
+    source.add([("a", at("2026-01-0%d" % d), 1.0, d) for d in range(1, 8)])
+    source.add([("a", at("2026-01-02"), 5.0, 20), ("b", at("2026-01-02"), 5.0, 21)])
+    run(maintain_silver(source.stream(), paths("silver"), paths("cp"), KEYS, "observed_at", "1 hour", seconds=None, **rules))
+    assert ("b", 21) in tuples(read_silver(spark, paths("silver")), "icao24", "arrival")
+    name = f"{query_id(spark, paths('cp'))}-1"
+    assert touched_days(spark, paths("silver"), name) == ["event_date=2026-01-02"]
+    # merging once more gives the same rows, and reads the files of that day alone
+    again = merge_late(spark, paths("silver"), name, KEYS, [], **rules)
+    assert tuples(again, "icao24", "arrival") == [("b", 21)]
+    assert again.inputFiles() and all("event_date=2026-01-02" in f for f in again.inputFiles())
+    assert merge_late(spark, paths("silver"), f"{name}9", KEYS, [], **rules) is None
+    assert watermark_of(spark, paths("cp"), 1) == (at("2026-01-06T23:00:00") - at("1970-01-01")).total_seconds() * 1000
+
+
+def test_the_log_of_latest_states_stays_bounded(spark, feed, paths, tmp_path):
+    source, everything, sizes = feed(), [], []
+    for batch in range(9):
+        rows = [("k%d" % (n % 5), at("2026-01-01") + timedelta(minutes=(7 * batch + n) % 40), 1.0, 10 * batch + n) for n in range(6)]
+        source.add(rows)
+        everything += rows
+        run(maintain_latest(source.stream(), "icao24", "observed_at", paths("out"), paths("cp"), seconds=None))
+        if batch % 2:
+            compact_latest(spark, paths("out"), "icao24", "observed_at", grace_seconds=0)
+        expected = tuples(latest(spark.createDataFrame(everything, RECORDS), ["icao24"], "observed_at"))
+        assert tuples(read_latest(spark, paths("out"), "icao24", "observed_at")) == expected
+        sizes.append((len(list(tmp_path.glob("out/changes/*/batch_id=*"))), len(list(tmp_path.glob("out/snapshot/*")))))
+    assert max(n for n, _ in sizes) <= 5 and max(n for _, n in sizes) <= 1
+    compact_latest(spark, paths("out"), "icao24", "observed_at")  # with the grace time nothing goes yet
+    compact_latest(spark, paths("out"), "icao24", "observed_at")
+    assert len(list(tmp_path.glob("out/snapshot/*"))) == 3
+    assert tuples(read_latest(spark, paths("out"), "icao24", "observed_at")) == expected

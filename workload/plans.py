@@ -61,7 +61,7 @@ def land(spark, sf_dir):
     )
     folder = shared_folder(spark, "landed-readings")
     land_readings(
-        locations(spark, sf_dir), measurements, folder, "first", datetime(2026, 1, 1), targets=TARGETS, rows_per_sensor=5
+        locations(spark, sf_dir), measurements, folder, "first", datetime(2026, 1, 1), targets=TARGETS, rows_per_sensor=5, days=None
     )
     bronze = read_parquet_declared(spark, folder, READINGS_SCHEMA)
     return bronze.select(
