@@ -1,6 +1,6 @@
 """Language-model scoring by partial matching over bytes.
 
-A trie holds how often each byte, or the end of a text, followed each context of up to six bytes. A symbol
+A trie holds how often each byte, or the end of a text, followed each context of up to five bytes. A symbol
 is coded in the longest known context; where the context has not seen it, an escape is coded first, and
 the symbols of that context are left out of the counts of the next shorter one. Each symbol seen gives half
 a count to the escape. Below the empty context all symbols left are equally
@@ -9,11 +9,11 @@ gathered from the training texts (pretrained, not adapted while a text is read).
 
 A-Z are lower-cased; contexts and symbols are bytes as they stand. The counts of all contexts of all
 training texts are a Spark table. Two bounded shortcuts travel to the tasks: the most frequent contexts
-(``LONG_CONTEXTS``), used where the whole six bytes are among them, and the most frequent six-byte
+(``LONG_CONTEXTS``), used where the whole five bytes are among them, and the most frequent five-byte
 contexts with their symbol (``FREQUENT_GRAMS``). Every other symbol leaves its task as a row (document,
 context and symbol, times) and is joined to its exact probability through a shuffle. What training has
-seen after its six bytes needs one count and one total; for what it has not, the different
-(context, symbol) are joined to the counts of all seven lengths.
+seen after its five bytes needs one count and one total; for what it has not, the different
+(context, symbol) are joined to the counts of all six lengths.
 
 Next to it stands a plain word model. Its frequent words, a bounded number, travel to the tasks that read
 the texts; all other words are joined to their counts through a shuffle. Words are told apart by a 64-bit
@@ -30,18 +30,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyair.llm.common import LOWER, buffer_of, chunks, mixed, span_hashes, stored, word_spans
+from skyair.llm.common import LOWER, buffer_of, chunks, lean, mixed, span_hashes, stored, stored_in, word_spans
+from skyair.sources.folders import remove
 
 END = 256
 SYMBOLS = 257
-ORDER = 6
+#: Longest context in bytes. A sixth byte triples the counts and gains little (figures in the README).
+ORDER = 5
 #: Contexts of each length; the context of length k is the remainder of the longest one modulo CONTEXTS[k].
 CONTEXTS = tuple(256**k for k in range(ORDER + 1))
 #: Every context up to this length is among the frequent ones.
 SHORT = 2
 #: Longer contexts sent to every task: at most this many, the most frequent.
 LONG_CONTEXTS = 1 << 16
-#: Six-byte contexts with symbol sent to every task: at most this many, the most frequent; 16 bytes each.
+#: Five-byte contexts with symbol sent to every task: at most this many, the most frequent; 16 bytes each.
 FREQUENT_GRAMS = 1 << 20
 #: Words sent to every task: at most this many, the most frequent; 16 bytes each.
 FREQUENT_WORDS = 1 << 18
@@ -50,10 +52,6 @@ _GRAM, _WORD, _TEXT = 0, 1, 2
 _HELD = 1 << 21  # entries a counting task holds before it hands them on
 
 
-#: How context bytes are read, all but the last and the last: as they stand.
-_FAR = _NEAR = np.arange(256, dtype=np.int64)
-
-
 def symbols_in_context(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Every symbol of all texts: number of its longest context, the symbol, the text it belongs to.
 
@@ -69,9 +67,8 @@ def symbols_in_context(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
     as_byte = np.where(padded == END, 0x0A, padded)
     last = max(0, len(padded) - ORDER)
     context = np.zeros(last, dtype=np.int64)
-    for place in range(ORDER - 1):
-        context = context * 256 + _FAR[as_byte[place : place + last]]
-    context = context * 256 + _NEAR[as_byte[ORDER - 1 : ORDER - 1 + last]]
+    for place in range(ORDER):
+        context = context * 256 + as_byte[place : place + last]
     symbol_owner = np.repeat(np.arange(n), np.diff(offsets) + ORDER + 1)
     whole = symbol_owner[:last] == symbol_owner[ORDER:]
     return context[whole], padded[ORDER:][whole], symbol_owner[ORDER:][whole]
@@ -139,7 +136,7 @@ def corpus_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
     return (
         df.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .mapInArrow(count, "kind tinyint, item bigint, n bigint")
+        .mapInArrow(lean(count), "kind tinyint, item bigint, n bigint")
         .groupBy("kind", "item")
         .agg(F.sum("n").alias("n"))
     )
@@ -258,7 +255,7 @@ def most_frequent(df: DataFrame, n: str, most: int) -> DataFrame:
 
 
 def _by_length(items: DataFrame, *others: str) -> DataFrame:
-    """Per ``item`` seven rows (length, context, symbol), one for each length of context."""
+    """Per ``item`` six rows (length, context, symbol), one for each length of context."""
     sizes = [F.struct(F.lit(k).alias("length"), F.lit(v).cast("bigint").alias("size")) for k, v in enumerate(CONTEXTS)]
     symbol = F.col("item").bitwiseAND(511).cast("int").alias("symbol")
     rows = items.select("item", *others, symbol, F.explode(F.array(*sizes)).alias("l"))
@@ -294,7 +291,7 @@ def unseen(items: DataFrame, by_length: DataFrame) -> DataFrame:
         F.sum("n").cast("double").alias("total"), F.count(F.lit(1)).cast("double").alias("kinds"),
         F.coalesce(F.sum("above"), F.lit(0)).cast("double").alias("above"),
     )
-    nodes = stored(nodes, "lm-nodes")
+    nodes, folder = stored_in(nodes, "lm-nodes")
     met = levels.join(nodes, node).join(by_length, [*node, "symbol"], "left")
     chain = F.array_sort(F.collect_list(F.struct((-F.col("length")).alias("k"), "total", "kinds", "above", "n")))
     start = F.struct(F.lit(0.0).alias("log"), F.lit(False).alias("done"), F.lit(0.0).alias("above"), F.lit(0.0).alias("kinds"))
@@ -314,14 +311,16 @@ def unseen(items: DataFrame, by_length: DataFrame) -> DataFrame:
 
     end = lambda state: F.when(state["done"], state["log"]).otherwise(state["log"] - F.log10(SYMBOLS - state["kinds"]))
     found = met.groupBy("item").agg(chain.alias("chain"))
-    return found.select("item", F.aggregate("chain", start, step, end).alias("value"))
+    found = stored(found.select("item", F.aggregate("chain", start, step, end).alias("value")), "lm-unseen")
+    remove(found.sparkSession, folder)
+    return found
 
 
 class Model(NamedTuple):
     contexts: Contexts
     frequent: np.ndarray  # hashes of the frequent words, ascending
     frequent_counts: np.ndarray
-    grams: np.ndarray  # the frequent six-byte contexts with symbol, ascending
+    grams: np.ndarray  # the frequent five-byte contexts with symbol, ascending
     grams_log: np.ndarray
     counts: DataFrame  # (gram, word, value): log10 of the count of all words, log10 probability of all grams seen
     by_length: DataFrame  # counts of all contexts
@@ -428,16 +427,17 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     kind = df.select(F.col(f"`{key}`").alias("key")).dtypes[0][1]
     fed = df.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     read_rows = fed.mapInArrow(
-        read,
+        lean(read),
         f"key {kind}, digest bigint, word bigint, gram boolean, times bigint, tokens bigint, known bigint, logs double, coded double",
     )
     read_rows = stored(read_rows, "lm-rows")
     missing = read_rows.filter("gram").select(F.col("word").alias("item")).distinct().join(
         model.counts.filter("gram").select(F.col("word").alias("item")), "item", "left_anti"
     )
-    missing = stored(missing, "lm-missing")
+    missing, folder = stored_in(missing, "lm-missing")
     if model.texts:
         found = unseen(missing, model.by_length)
+        remove(spark, folder)
     else:
         found = missing.withColumn("value", F.lit(-float(np.log10(SYMBOLS))))
     values = model.counts.unionByName(found.select(F.lit(True).alias("gram"), F.col("item").alias("word"), "value"))
