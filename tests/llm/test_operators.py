@@ -71,7 +71,7 @@ def test_words_and_hashes_equal_plain_ones():
 
 def test_language_of_odd_rows(odd):
     found = langid.predict(odd.select("doc_id", "text", "lang", "score", "key"), langid.train(odd))
-    assert found.columns == ["doc_id", "lang", "key", "lang_pred", "score"]
+    assert found.columns == ["doc_id", "lang", "key", "lang_pred", "score", "n_letters"]
     rows = Counter((r.doc_id, r.lang_pred) for r in found.collect())
     assert rows[1, "en"] == 2 and rows[5, "de"] == 1 and rows[None, "de"] == 1 and rows[None, "und"] == 1
     assert {i for i, p in rows if p == "und"} == {None, 2, 3, 4, 8}
@@ -90,14 +90,78 @@ def test_language_vectors_are_the_bound_ones():
 
     grams, owner = langid._grams(pa.array(["Ab", "a"]))
     assert owner.tolist() == [0, 0, 1]
-    letters = langid._letter_vectors().astype(int)
-    a, b = letters[1], letters[2]
-    plain = [np.roll(letters[0], 2) * np.roll(a, 1) * b, np.roll(a, 2) * np.roll(b, 1) * letters[0]]
+    gap, a, b = langid.letter_vectors(np.array([0, ord("a"), ord("b")])).astype(int)
+    plain = [np.roll(gap, 2) * np.roll(a, 1) * b, np.roll(a, 2) * np.roll(b, 1) * gap]
     assert (langid.gram_vectors(grams[:2]) == np.array(plain)).all()
     text = np.sum(plain, axis=0)
     assert np.dot(text, text) / (np.linalg.norm(text) ** 2) == pytest.approx(1)
 
 
+SCRIPTS = {
+    "en": "the cat sat on the mat and then the other cat sat there with them",
+    "pl": "żółta łódź płynie przez jezioro, a wiatr wieje świeżo od południa",
+    "ru": "кошка сидела на окне и смотрела на улицу, где шёл снег",
+    "uk": "кішка сиділа на вікні й дивилася на вулицю, де йшов сніг",
+    "zh": "猫坐在窗台上看着外面的雪，街上没有人",
+    "xx": "\U00031350\U00031351 \U00031352\U00031353\U00031350 \U00031354\U00031351\U00031352",  # letters of a far plane
+}
+
+
+def plain_languages(train, texts):
+    """Language and cosine of every text: one vector a letter, rolled, multiplied and added up one by one."""
+    vectors = {}
+
+    def of(letter):
+        if letter not in vectors:
+            vectors[letter] = langid.letter_vectors(np.array([letter]))[0].astype(int)
+        return vectors[letter]
+
+    def bundle(text):
+        letters = [0, *(ord(c.lower()[0]) if c.isalpha() else 0 for c in text or ""), 0]
+        letters = [x for k, x in enumerate(letters) if x or not k or letters[k - 1]] + [0]
+        total = np.zeros(langid.DIMENSIONS, dtype=int)
+        for x, y, z in zip(letters, letters[1:], letters[2:]):
+            if y:
+                total += np.roll(of(x), 2) * np.roll(of(y), 1) * of(z)
+        return total
+
+    prototypes = {}
+    for lang, text in train:
+        prototypes[lang] = prototypes.get(lang, 0) + bundle(text)
+    for text in texts:
+        own = bundle(text)
+        cosines = {k: own @ p / (np.linalg.norm(own) * np.linalg.norm(p) or 1) for k, p in prototypes.items()}
+        best = max(sorted(cosines), key=lambda k: round(cosines[k], 6))
+        yield ("und", 0.0) if not any(c.isalpha() for c in text or "") else (best, max(cosines[best], 0.0))
+
+
+def test_language_equals_plain_vectors_in_many_scripts(spark):
+    texts = [part for t in SCRIPTS.values() for part in (t, t[:9], t.upper(), t[::-1])] + [None, "", "12", "ß", "\U00031350", "İstanbul Ünü"]
+    train = [(0, t, lang) for lang, t in SCRIPTS.items()] + [(0, "on the mat", "en")]
+    prototypes = langid.train(table(spark, train).repartition(3))
+    found = langid.predict(table(spark, [(k, t, None) for k, t in enumerate(texts)]), prototypes).collect()
+    expected = list(plain_languages([(lang, t) for _, t, lang in train], texts))
+    assert {r.doc_id: r.lang_pred for r in found} == {k: p for k, (p, _) in enumerate(expected)}
+    assert {r.doc_id: pytest.approx(r.score, abs=1e-6) for r in found} == {k: s for k, (_, s) in enumerate(expected)}
+    assert [expected[4 * k + 1][0] for k in range(len(SCRIPTS))] == list(SCRIPTS)
+
+
+def test_at_most_so_many_labels_are_learned(spark):
+    rows = [(k, "some text", f"l{k % 50:02d}") for k in range(200)] + [(300 + k, "le texte", "fr") for k in range(9)]
+    assert list(langid.train(table(spark, rows), most=3)) == ["fr", "l00", "l01"]
+
+
+def test_letter_noise_is_in_no_language(spark):
+    rng = random.Random(2)
+    words = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were".split()
+    prose = [" ".join(rng.choices(words, k=12)) for _ in range(40)]
+    noise = ["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=60)) for _ in range(40)] + ["".join(rng.choices("0123456789abcdefXYZqjkz", k=90)) for _ in range(40)]
+    prototypes = langid.train(table(spark, [(k, t, "en") for k, t in enumerate(prose)]))
+    docs = table(spark, [(k, t, None) for k, t in enumerate([*prose, "of", "zebra", *noise, "", None, "12"])])
+    kept = {r.doc_id for r in langid.predict(docs, prototypes).filter(langid.in_a_language()).collect()}
+    assert set(range(42)) <= kept and len(kept) <= 42 + 2
+
+
 # ---------------------------------------------------------------- 2
 
 
@@ -323,8 +387,7 @@ def plain_matching(train, text):
         padded = [*b"\n" * lm.ORDER, *data]
         for k, s in enumerate([*data, lm.END]):
             past = padded[k : k + lm.ORDER]
-            codes = [int(lm._FAR[b]) for b in past[:-1]] + [100 + int(lm._NEAR[past[-1]])]
-            yield [tuple(codes[lm.ORDER - n :]) for n in range(lm.ORDER + 1)], s
+            yield [tuple(past[lm.ORDER - n :]) for n in range(lm.ORDER + 1)], s
 
     for value in train:
         for contexts, s in symbols(value):
