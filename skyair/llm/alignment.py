@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyair.llm.common import chunks, stored
+from skyair.llm.common import chunks, lean, stored
 
 BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -295,7 +295,7 @@ def align(df: DataFrame, files: Tokenizers | None = None, text: str = "text", me
 
     fed = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("__text"))
     schema = [f"`{c}` {kind}" for c, kind in fed.drop("__text").dtypes]
-    return fed.mapInArrow(run, ", ".join([*schema, *(f"{c} {kind}" for c, kind in _RESULTS.items())]))
+    return fed.mapInArrow(lean(run), ", ".join([*schema, *(f"{c} {kind}" for c, kind in _RESULTS.items())]))
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
@@ -361,7 +361,7 @@ def rate(rows: DataFrame, counts: DataFrame, frequent_pairs: int = FREQUENT_PAIR
     schema = [f"`{c}` {kind}" for c, kind in rows.select(*(F.col(f"`{c}`") for c in kept)).dtypes]
     half = "n_best bigint, count_sum bigint, pairs array<bigint>, times array<bigint>"
     fed = rows.select(*(F.col(f"`{c}`") for c in kept), "pairs", "times")
-    rated = fed.mapInArrow(run, ", ".join([*schema, half]))
+    rated = fed.mapInArrow(lean(run), ", ".join([*schema, half]))
     # A number per row: kept in the stored table, so that it is the same whenever it is read.
     rated = stored(rated.withColumn("__row", F.monotonically_increasing_id()), "pair-rated")
     rare = rated.select("__row", F.explode(F.arrays_zip("pairs", "times")).alias("l")).select(

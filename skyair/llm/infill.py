@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyair.llm.common import buffer_of, chunks
+from skyair.llm.common import buffer_of, chunks, lean
 
 #: Bytes of a block.
 BLOCK = 512
@@ -179,7 +179,7 @@ def transform(
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"),
     )
     schema = [f"`{c}` {kind}" for c, kind in fed.drop("__key", "__text").dtypes]
-    return fed.mapInArrow(run, ", ".join([*schema, *(f"{c} {kind}" for c, kind in _RESULTS.items())]))
+    return fed.mapInArrow(lean(run), ", ".join([*schema, *(f"{c} {kind}" for c, kind in _RESULTS.items())]))
 
 
 def restored(output: Column, form: Column, marks: Marks = MARKS) -> Column:

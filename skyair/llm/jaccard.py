@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyair.llm.common import buffer_of, chunks, mixed, span_hashes, stored, windows, word_spans
+from skyair.llm.common import buffer_of, chunks, lean, mixed, span_hashes, stored, windows, word_spans
 from skyair.llm.components import components
 
 WORDS = 5
@@ -110,7 +110,7 @@ def _signatures(df: DataFrame, key: str, text: str) -> DataFrame:
                 )
 
     fed = df.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    return fed.mapInArrow(run, "key bigint, k1 bigint, k2 bigint, n bigint, tokens binary")
+    return fed.mapInArrow(lean(run), "key bigint, k1 bigint, k2 bigint, n bigint, tokens binary")
 
 
 def _matrix(tokens: pa.Array) -> np.ndarray:
@@ -137,7 +137,7 @@ def _first_level(sets: DataFrame, runs: int, similarity: float) -> DataFrame:
                     rows, paths = _sampled(tokens, root, similarity)
                     yield pa.RecordBatch.from_arrays([pa.array(paths), nodes.take(pa.array(rows))], names=["path", "node"])
 
-    return sets.select("node", "tokens").mapInArrow(run, "path bigint, node bigint")
+    return sets.select("node", "tokens").mapInArrow(lean(run), "path bigint, node bigint")
 
 
 def _next_level(large: DataFrame, similarity: float) -> DataFrame:
@@ -175,7 +175,7 @@ def _next_level(large: DataFrame, similarity: float) -> DataFrame:
                 )
 
     rows = large.select("path", "node", "tokens").join(references, "path")
-    return rows.select("path", "node", "tokens", "own", "to").mapInArrow(run, "path bigint, node bigint, tokens binary, to bigint")
+    return rows.select("path", "node", "tokens", "own", "to").mapInArrow(lean(run), "path bigint, node bigint, tokens binary, to bigint")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -235,7 +235,7 @@ def _leaf_links(leaves: DataFrame, sets: DataFrame, similarity: float) -> DataFr
                 yield pa.RecordBatch.from_pydict({"a": nodes[other], "b": nodes[root[other]]})
 
     rows = leaves.join(paths, "path").join(sets.select("node", "tokens"), "node")
-    return rows.repartition("path").sortWithinPartitions("path").select("path", "node", "tokens").mapInArrow(run, "a bigint, b bigint")
+    return rows.repartition("path").sortWithinPartitions("path").select("path", "node", "tokens").mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def _candidates(sets: DataFrame, runs: int, similarity: float) -> DataFrame:
@@ -281,7 +281,7 @@ def _bits_of(groups: DataFrame) -> np.ndarray:
             one = (np.uint64(1) << (bit & 63).astype(np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_pydict({"word": bit >> 6, "bits": one})
 
-    found = groups.select("node").mapInArrow(words, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    found = groups.select("node").mapInArrow(lean(words), "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
     found = found.toArrow()
     table = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
     table[np.asarray(found.column("word"), dtype=np.int64)] = np.asarray(found.column("bits"), dtype=np.int64).view(np.uint64)
@@ -309,7 +309,7 @@ def _exact(df: DataFrame, groups: DataFrame, key: str, text: str, similarity: fl
 
     docs = df.select(F.col(f"`{key}`").cast("bigint").alias("node"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     # Texts outside all groups are left out before the shuffle; what the filter lets through wrongly, the join drops.
-    held = docs.mapInArrow(sets, "node bigint, found binary").join(placed, "node")
+    held = docs.mapInArrow(lean(sets), "node bigint, found binary").join(placed, "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     pieces = held.select("node", "component", "block", "found", other).select(
         "component", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "node", "block", "found"
@@ -331,7 +331,7 @@ def _exact(df: DataFrame, groups: DataFrame, key: str, text: str, similarity: fl
             yield pa.RecordBatch.from_pydict({"node": nodes, "links": linked.sum(axis=1), "root": nodes[root]})
 
     keys = ["component", "one", "two"]
-    return pieces.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "node bigint, links bigint, root bigint")
+    return pieces.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(compare), "node bigint, links bigint, root bigint")
 
 
 def _shared(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:

@@ -23,11 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyair.llm.common import lean
+
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: How far below the worst piece a character stands that is written as bytes.
 UNKNOWN_PENALTY = 10.0
-_CACHED = 200_000
+#: Bytes of stretches whose paths are kept within a task, and the longest of them in characters.
+_CACHED_BYTES = 24 << 20
 _CACHED_LENGTH = 48
 
 
@@ -69,13 +72,17 @@ class Coder:
             SPACE in p.lstrip(SPACE) or "\n" in p for p, ok in zip(vocabulary.pieces, vocabulary.plain) if ok
         )
         self.stretches = re.compile(r"(?s).+" if crossing else rf"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+").findall
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.forget()
         byte_of = {i: b for b, i in enumerate(vocabulary.byte_ids)}
         self.bytes_of = [
             bytes([byte_of[i]]) if i in byte_of else piece.replace(SPACE, " ").encode() if ok else b""
             for i, (piece, ok) in enumerate(zip(vocabulary.pieces, vocabulary.plain))
         ]
 
+    def forget(self) -> None:
+        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cached = 0
+
     def best_path(self, stretch: str) -> tuple[int, ...]:
         """Ids of the pieces with the largest sum of scores."""
         n = len(stretch)
@@ -121,9 +128,12 @@ class Coder:
                 if path is None:
                     path = self.best_path(stretch)
                     if len(stretch) <= _CACHED_LENGTH:
-                        if len(cache) >= _CACHED:
-                            cache.clear()
+                        if self.cached >= _CACHED_BYTES:
+                            self.forget()
+                            cache = self.cache
                         cache[stretch] = path
+                        # A string of two-byte signs, a tuple, and its place in the table; ids are shared or small.
+                        self.cached += 170 + 2 * len(stretch) + 24 * len(path)
                 ids += path
         return ids
 
@@ -133,16 +143,6 @@ class Coder:
         return b"".join([pieces[i] for i in ids])[1:].decode("utf-8", "replace")
 
 
-_coder: list[Coder] = []
-
-
-def _coder_of(shared) -> Coder:
-    """One automaton per Python process."""
-    if not _coder or _coder[0].vocabulary is not shared.value:
-        _coder[:] = [Coder(shared.value)]
-    return _coder[0]
-
-
 def encode(df: DataFrame, vocabulary: Vocabulary | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` plus the array ``ids`` of every whole text.
 
@@ -194,7 +194,7 @@ def _mapped(df, vocabulary, source, result, kind, function, keep_source=True) ->
     kept = [c for c in df.columns if c != result and (keep_source or c != source)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder_of(shared)
+        coder = Coder(shared.value)  # of this task, so an idle worker holds none
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
@@ -210,4 +210,4 @@ def _mapped(df, vocabulary, source, result, kind, function, keep_source=True) ->
         "string": pa.string(),
         "struct<ids: array<int>, exact: boolean>": pa.struct([("ids", pa.list_(pa.int32())), ("exact", pa.bool_())]),
     }.get(kind, pa.struct([("n_ids", pa.int64()), ("ids_sha256", pa.string()), ("exact", pa.bool_())]))
-    return fed.mapInArrow(run, schema)
+    return fed.mapInArrow(lean(run), schema)

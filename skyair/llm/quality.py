@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyair.llm.common import buffer_of, chunks, mixed, span_hashes, windows, word_spans
+from skyair.llm.common import buffer_of, chunks, lean, mixed, span_hashes, windows, word_spans
 from skyair.llm.rules import _again
 
 #: Labelled texts used to fit the network; the first in order of a hash of their id.
@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     rows = (
         docs.join(chosen, key)
         .select(F.col(key).cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.col("__label").alias("label"))
-        .mapInArrow(encode, "id string, label int, x binary")
+        .mapInArrow(lean(encode), "id string, label int, x binary")
         .orderBy("id", "label", "x")
         .collect()
     )
@@ -200,4 +200,4 @@ def score(df: DataFrame, net: Network, text: str = "text", threshold: float = TH
 
     fed = df.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     schema = [f"`{c}` {kind}" for c, kind in fed.drop("text").dtypes]
-    return fed.mapInArrow(run, ", ".join([*schema, "score double", "predicted int"]))
+    return fed.mapInArrow(lean(run), ", ".join([*schema, "score double", "predicted int"]))

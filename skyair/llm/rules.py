@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyair.llm.common import buffer_of, chunks, mixed, span_hashes, windows, word_spans
+from skyair.llm.common import buffer_of, chunks, lean, mixed, span_hashes, windows, word_spans
 
 #: Labelled texts used to fit the weights; the first in order of a hash of their id.
 SAMPLE_TEXTS = 4_000
@@ -241,7 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     rows = (
         docs.join(chosen, key)
         .select(F.col(key).cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.col("__label").alias("label"))
-        .mapInArrow(lines, "id string, label int, bits array<bigint>")
+        .mapInArrow(lean(lines), "id string, label int, bits array<bigint>")
         .orderBy("id", "label", "bits")
         .collect()
     )
@@ -276,5 +276,5 @@ def judge(df: DataFrame, field: Field, key: str = "doc_id", text: str = "text",
 
     fed = df.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     schema = ", ".join([f"key {fed.dtypes[0][1]}", *(f"{c} bigint" for c in names)])
-    judged = fed.mapInArrow(run, f"{schema}, base_failed boolean, content_words bigint, kept boolean")
+    judged = fed.mapInArrow(lean(run), f"{schema}, base_failed boolean, content_words bigint, kept boolean")
     return judged.withColumnRenamed("key", key)
