@@ -14,10 +14,15 @@ from skyair.llm.common import read_table, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that are in no language: null, empty and letterless texts."""
-    prototypes = langid.train(docs)
-    labelled = langid.predict(docs, prototypes, keep_text=True)
-    return labelled.filter(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+    """Drops the documents that are in no language: texts without a letter, and texts no nearer to any language than noise.
+
+    Rows with a null id or label are judged like all others, repeated rows each; a table without labelled
+    rows has no language, so nothing is left of it.
+    """
+    names = {c: f"_{k}" for k, c in enumerate(docs.columns)}  # names of their own, so that none clashes with a result
+    labelled = langid.predict(docs.withColumnsRenamed(names), langid.train(docs), names["text"], keep_text=True)
+    kept = labelled.filter((F.col("lang_pred") != langid.UNKNOWN) & langid.in_a_language())
+    return kept.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
