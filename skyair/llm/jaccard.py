@@ -21,7 +21,7 @@ pairs is ever written, and links between any two different sets of a group are c
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, exp, log
+from math import comb, exp
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +49,22 @@ _SHIFTS = _DRAWN.integers(0, 2**63, size=TOKENS, dtype=np.uint64)
 def runs_for(recall: float = TARGET_RECALL, depth: int = DEPTH) -> int:
     """Runs after which a pair at the threshold met with probability ``recall``, if split ``depth`` times.
 
-    Each level keeps one shared bucket on average; a pair is lost once it keeps none.
+    Each level keeps one shared bucket on average; a pair is lost once it keeps none. In how many of the
+    TOKENS places two sets agree is fixed for all runs and binomial, so the chance is averaged over it.
     """
-    meets = 1.0
-    for _ in range(depth):
-        meets = 1 - exp(-meets)
-    return ceil(log(1 - recall) / log(1 - meets))
+
+    def meets(agree: int) -> float:
+        kept = 1.0
+        for _ in range(depth):
+            kept = 1 - exp(-kept * agree / TOKENS / SIMILARITY)
+        return kept
+
+    share = [comb(TOKENS, k) * SIMILARITY**k * (1 - SIMILARITY) ** (TOKENS - k) for k in range(TOKENS + 1)]
+    missed = [1 - meets(k) for k in range(TOKENS + 1)]
+    runs = 1
+    while sum(p * m**runs for p, m in zip(share, missed)) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +161,9 @@ def _next_level(large: DataFrame, similarity: float) -> DataFrame:
     margin = 5 * (0.25 / TOKENS) ** 0.5
     near = 1 - 1.5 * (1 - similarity)
     reach = near - (1 - similarity) - margin
+    # Stored, as are the other tables of one row per path: next to a plain scan a hot path can be split.
     references = large.groupBy("path").agg(F.min_by("tokens", "node").alias("own"), F.min("node").alias("to"))
+    references = stored(references, "references")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,13 +256,14 @@ def _candidates(sets: DataFrame, runs: int, similarity: float) -> DataFrame:
     small, edges = [], []
     for depth in range(1, DEPTH + 1):
         sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("size"))
-        sized = stored(level.join(sizes.filter(F.col("size") > 1), "path"), "paths")
+        sizes = stored(sizes.filter(F.col("size") > 1), "path-sizes")
+        sized = stored(level.join(sizes, "path"), "paths")
         small.append(sized.filter(F.col("size") <= BUCKET).select("path", "node"))
         large = sized.filter(F.col("size") > BUCKET)
         if large.isEmpty():
             break
         if depth == DEPTH:
-            low = large.groupBy("path").agg(F.min("node").alias("b"))
+            low = stored(large.groupBy("path").agg(F.min("node").alias("b")), "path-roots")
             edges.append(large.join(low, "path").select(F.col("node").alias("a"), "b"))
             break
         if depth == 1:
@@ -291,6 +304,7 @@ def _bits_of(groups: DataFrame) -> np.ndarray:
 def _exact(df: DataFrame, groups: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
     """Rows (node, links, root): per piece of work, a set's links and the smallest set of its part."""
     sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sizes = stored(sizes, "component-sizes")
     placed = groups.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
 
     wanted = df.sparkSession.sparkContext.broadcast(_bits_of(groups))
@@ -371,7 +385,9 @@ def join(
         worded.filter(F.col("key").isNotNull()).groupBy("k1", "k2").agg(F.min("key").alias("node")), "classes"
     )
     sets = worded.join(classes, ["k1", "k2"]).filter(F.col("key") == F.col("node")).select("node", "tokens")
-    sets = stored(sets.dropDuplicates(["node"]), "sets")
+    # Of different texts that share an id the smallest signature stands for it, whatever the partitioning.
+    sets = sets.groupBy("node").agg(F.min("tokens").alias("tokens"))
+    sets = stored(sets, "sets")
     groups = components(_candidates(sets, runs_for(recall), similarity))
     compared = stored(_exact(df, groups, key, text, similarity), "compared")
     links = compared.groupBy("node").agg(F.sum("links").alias("links"))
