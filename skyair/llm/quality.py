@@ -4,8 +4,8 @@ A text is a bag of passages of ``PASSAGE_WORDS`` words. Every passage is encoded
 a learned layer; gated attention (a tanh branch times a sigmoid branch) weighs the passages of a text; the
 weighted sum is scored. Only texts carry labels, the weights of passages are learned from them.
 
-The network is fitted on a bounded sample (``SAMPLE_TEXTS`` labelled texts, all their passages); scoring
-reads every passage of every text.
+The network is fitted on a bounded sample (``SAMPLE_TEXTS`` labelled texts, ``SAMPLE_PASSAGES`` of each, evenly
+spaced: some 350 MB at most); scoring reads every passage of every text.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from skyair.llm.rules import _again
 
 #: Labelled texts used to fit the network; the first in order of a hash of their id.
 SAMPLE_TEXTS = 6_000
+#: Passages of a labelled text used to fit it; longer texts give evenly spaced ones.
+SAMPLE_PASSAGES = 200
 PASSAGE_WORDS = 50
 HIDDEN = 24
 ATTENTION = 12
@@ -91,6 +93,11 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, bag
 
 
+def spaced(begin: int, end: int, most: int = SAMPLE_PASSAGES) -> np.ndarray:
+    """At most ``most`` of the places from ``begin`` to ``end``, the first and the last among them."""
+    return np.unique(np.linspace(begin, end - 1, min(most, end - begin)).round().astype(np.int64))
+
+
 class Network:
     def __init__(self, seed: int = 3) -> None:
         draw = np.random.default_rng(seed)
@@ -163,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
             for part in chunks(batch):
                 x, bag = passages(part.column("text"))
                 edges = np.searchsorted(bag, np.arange(part.num_rows + 1))
-                coded = [x[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
+                coded = [x[spaced(a, b)].tobytes() for a, b in zip(edges[:-1], edges[1:])]
                 columns = [part.column("id"), part.column("label"), pa.array(coded, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "label", "x"])
 

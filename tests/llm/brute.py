@@ -3,7 +3,7 @@
 import re
 from collections import Counter, defaultdict
 from hashlib import sha256
-from math import log10
+from math import log1p, log10
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -156,3 +156,53 @@ def alignments(texts):
         }
         for key, (n_a, n_b, n_groups, links, digest) in found.items()
     }
+
+
+def passage_measures(text, module, word_hash):
+    """The measurements of every passage of a text, counted one word at a time."""
+    data = (text or "").encode()
+    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    words = [data[a:b] for a, b in spans]
+    grams = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    rows = []
+    for k in range(0, max(1, len(words)), module.PASSAGE_WORDS):
+        own = range(k, min(k + module.PASSAGE_WORDS, len(words)))
+        if not own:
+            rows.append([0.0] * module.WIDTH)
+            continue
+        classes, sketch = Counter(), [0.0] * module._BUCKETS
+        for byte in data[spans[own[0]][0] : spans[own[-1]][1]]:
+            c = chr(byte)
+            kind = c if c in module._CLASSES else "beyond" if byte > 127 else "A-Z" if "A" <= c <= "Z" else "a-z" if "a" <= c <= "z" \
+                else "0-9" if c in "0123456789" else "line" if c == "\n" else "other"
+            classes[kind] += 1
+        for i in own:
+            h = word_hash(words[i])
+            sketch[h % module._BUCKETS] += ((h >> 40) & 1) * 2 - 1
+        length = max(2 * sum(v * v for v in sketch) ** 0.5, 1e-9)
+        n, sizes = len(own), [len(words[i]) for i in own]
+        mean = sum(sizes) / n
+        seen = [words[i] in [words[j] for j in range(own[0], i)] for i in own]
+        twice = [grams[tuple(words[i : i + 5])] > 1 for i in own]
+        same = [i > 0 and words[i] == words[i - 1] for i in own]
+        deviation = max(sum(v * v for v in sizes) / n - mean**2, 0) ** 0.5
+        rows.append(
+            [4 * classes[c] / sum(classes.values()) for c in module._CLASSES] + [v / length for v in sketch]
+            + [2 * sum(seen) / n, 2 * sum(twice) / n, 2 * sum(same) / n, log1p(n) / 4, mean / 8, deviation / 8]
+        )
+    return rows
+
+
+def attention_score(rows, p):
+    """Gated attention over the passages of one text, with plain sums."""
+    import math
+
+    times = lambda x, m: [sum(a * b for a, b in zip(x, column)) for column in zip(*m)]
+    hidden = [[math.tanh(v + b) for v, b in zip(times(x, p["w"]), p["b"])] for x in rows]
+    energy = []
+    for h in hidden:
+        gate = [math.tanh(t) / (1 + math.exp(-s)) for t, s in zip(times(h, p["v"]), times(h, p["u"]))]
+        energy.append(times(gate, p["a"])[0])
+    weight = [math.exp(e) for e in energy]
+    z = [sum(w * h[k] for w, h in zip(weight, hidden)) / sum(weight) for k in range(len(hidden[0]))]
+    return 1 / (1 + math.exp(-times(z, p["c"])[0] - p["c0"][0]))

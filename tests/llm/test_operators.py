@@ -162,6 +162,29 @@ def test_letter_noise_is_in_no_language(spark):
     assert set(range(42)) <= kept and len(kept) <= 42 + 2
 
 
+def test_quality_scores_equal_plain_ones(spark):
+    rng = random.Random(12)
+    words = ["the", "Buy", "NOW!!!", "é-clair", "a", "$$$", "1,000", "of", "#tag", "(x)"]
+    texts = [" ".join(rng.choices(words, k=k)) for k in (1, 4, 49, 50, 51, 130)] + [("la la la " * 40).strip(), None, "", " \n ", "x\ny", "日本 語"]
+    net = quality.Network(seed=5)
+    scored = quality.score(table(spark, [(k, t, None) for k, t in enumerate(texts)]).select("doc_id", "text"), net).collect()
+
+    def word_hash(word):
+        data = np.frombuffer(word, dtype=np.uint8)
+        return int(common.span_hashes(data, np.array([0]), np.array([len(data)]))[0])
+
+    p = {k: v.tolist() for k, v in net.p.items()}
+    for r in scored:
+        expected = brute.attention_score(brute.passage_measures(texts[r.doc_id], quality, word_hash), p)
+        assert r.score == pytest.approx(expected, abs=1e-5) and r.predicted == (r.score >= quality.THRESHOLD)
+
+
+def test_passages_of_long_texts_are_spaced_evenly():
+    assert quality.spaced(5, 8).tolist() == [5, 6, 7]
+    some = quality.spaced(0, 1000, 11).tolist()
+    assert len(some) == 11 and some[0] == 0 and some[-1] == 999 and max(np.diff(some)) <= 101
+
+
 # ---------------------------------------------------------------- 2
 
 
