@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each applied to what the one before it kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read again as the
-next one's ``docs``. All but the last return the columns of ``documents``.
+next one's ``docs``. All but the last return the columns of ``docs``, whatever these are called. An empty table
+gives an empty table in every stage.
 """
 
 from __future__ import annotations
@@ -26,23 +27,31 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that with the smallest id, of each group of copies and near copies."""
+    """Keeps one document, that with the smallest id, of each group of copies and near copies.
+
+    Ids are whole numbers. Rows without an id stay, as no smaller one can be named; rows that share an id are
+    one document and stay or go together; null, empty and wordless texts are in no group and stay.
+    """
     return jaccard.keep_one(docs, jaccard.join(docs))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark item."""
+    """Drops the documents that hold a benchmark item.
+
+    All rows of an id go if one of them does, and so do rows without an id; null and empty texts hold no item
+    and, having an id of their own, stay. Items without a text match nothing.
+    """
     found = decontamination.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
     return decontamination.clean(docs, found)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rewrites the texts that hold personal data; keeps every document."""
+    """Rewrites the texts that hold personal data; keeps every row, repeated ones and null texts too."""
     return pii.sanitise(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
+    """Token ids of every row, and whether they decode to its text; a null text counts as empty."""
     return pieces.encode_and_prove(docs.select("doc_id", "lang", "source", "text"))
 
 
