@@ -79,6 +79,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--locations-per-country", type=int, help="land: locations chosen in each country")
     parser.add_argument("--targets", nargs="+", help="land: names of the parameters to load")
     parser.add_argument("--day-folders", help="land: name of the day that the measurements' folders are named by")
+    parser.add_argument("--buckets", type=int, default=0, help="load: deal tables by sensor or aircraft into so many buckets")
     parser.add_argument("--format", default="parquet", help="table format of the warehouse")
     given = parser.parse_args(arguments)
     save = partial(load_table, format=given.format)
@@ -87,7 +88,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     elif given.command == "refine":
         print("refined:", *refine(spark, given.lake, given.sources, given.validate_first, not given.no_days))
     elif given.command == "load":
-        print("loaded:", *load_silver(spark, given.lake, given.sources, save).values())
+        print("loaded:", *load_silver(spark, given.lake, given.sources, save, buckets=given.buckets).values())
     elif given.command == "build":
         marts = build(
             spark,

@@ -18,7 +18,7 @@ from skyair.plans.models import GROUPS, build_models, default_models
 from skyair.plans.refining import EVENT_DATE, refine_new_files, refine_whole
 from skyair.sources.folders import recover
 from skyair.sources.readers import CORRUPT, Paths, optional, read_json_lines, read_parquet_declared, read_parquet_files
-from skyair.sources.writers import load_table
+from skyair.sources.writers import evenly_keyed, load_table
 
 CHECKS = "load_checks"
 
@@ -180,8 +180,14 @@ def load_silver(
     names: Collection[str] | None = None,
     save: Callable[[DataFrame, str], None] = load_table,
     sources: Collection[Source] = SOURCES,
+    buckets: int = 0,
 ) -> dict[str, str]:
-    """Replace each source's table by its silver snapshot; returns {source: table} of those loaded."""
+    """Replace each source's table by its silver snapshot; returns {source: table} of those loaded.
+
+    With ``buckets`` a table is dealt by its entity (sensor, aircraft) instead of by day, so that latest rows,
+    newest rows and duplicate keys need no shuffle. Where one entity has too large a share of the rows for
+    even buckets, the table keeps its days.
+    """
     loaded = {}
     for source in _chosen(names, sources):
         path = f"{lake}/silver/{source.name}"
@@ -194,7 +200,10 @@ def load_silver(
         if source.declared is not None:
             require_schema(silver.select(*(n for n in source.declared.names if n in silver.columns)), source.declared)
         table = f"{source.name}_processed"
-        if EVENT_DATE in silver.columns:
+        entity = list(source.keys[:1])
+        if buckets and evenly_keyed(silver, entity, buckets):
+            save(silver, table, bucket_by=entity, buckets=buckets)
+        elif EVENT_DATE in silver.columns:
             save(silver, table, partition_by=[EVENT_DATE])
         else:
             save(silver, table)

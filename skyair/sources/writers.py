@@ -48,15 +48,35 @@ def load_table(
     format: str = "parquet",
     options: Mapping[str, str] | None = None,
     partition_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
 ) -> None:
     """Replace a warehouse table by the rows of ``df``. Other warehouses by ``format`` and options.
 
-    With ``partition_by`` the rows are rebalanced on those columns, as in ``write_snapshot``.
+    With ``partition_by`` the rows are rebalanced on those columns, as in ``write_snapshot``. With
+    ``bucket_by`` the table is dealt by key into ``buckets`` sorted files, so that what groups or ranks by
+    these keys reads it without a shuffle. All rows of a key are in one bucket: see ``evenly_keyed``.
     """
     if partition_by:
         df = df.hint("rebalance", *map(F.col, partition_by))
+    elif bucket_by:
+        df = df.repartition(buckets, *bucket_by)  # as the buckets are dealt, so a task writes one of them
     writer = df.write.format(format).options(**(options or {})).mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    elif bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(table)
+
+
+def evenly_keyed(df: DataFrame, keys: Sequence[str], buckets: int) -> bool:
+    """Whether no key holds more than two buckets' fair share of the rows, so that buckets by key stay even.
+
+    Counts combine on the map side, so a hot key costs no more than others.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest, rows = counts.agg(F.max("n"), F.sum("n")).first()
+    return rows is None or largest * buckets <= 2 * rows
 
 
 def with_lineage(df: DataFrame, load_id: str, loaded_at: datetime | None = None) -> DataFrame:

@@ -11,7 +11,8 @@ from tests.helpers import at, shown_plan, tuples
 
 from skyair.functions.predicates import valid_reading
 from skyair.operators.aggregation import daily_partials, daily_summary, merged_summary
-from skyair.operators.cleaning import CORRUPT_LINE, KEPT, REASON, audit, audit_of, clean, route
+from skyair.operators.cleaning import CORRUPT_LINE, KEPT, REASON, audit, audit_of, clean, dedup_newest, route
+from skyair.operators.selection import latest
 from skyair.plans import refining
 from skyair.plans.medallion import FLIGHTS, READINGS, load_silver, refine, refine_new
 from skyair.plans.refining import read_rejects, stored_audit, survivors
@@ -211,3 +212,27 @@ def test_a_snapshot_survives_a_job_that_dies(spark, tmp_path, monkeypatch, parti
     write_snapshot(spark.read.parquet(path).select((F.col("v") + 1).alias("v"), "k"), path, partition_by)
     assert tuples(spark.read.parquet(path), "v", "k") == [(4, "c")]
     assert {p.name for p in tmp_path.iterdir()} == {"snapshot"}
+
+
+def test_a_bucketed_table_is_read_by_key_without_a_shuffle(spark, lake, monkeypatch):
+    spark.sql("DROP TABLE IF EXISTS readings_processed")
+    rows = [(n % 50, at("2026-01-01") + timedelta(hours=n % 90), float(n), "pm25", 1) for n in range(600)]
+    append(spark, lake, rows, 0)
+    refine(spark, lake, ["readings"], sources=[SOURCE])
+    load_silver(spark, lake, ["readings"], sources=[SOURCE], buckets=6)
+    table, silver = spark.table("readings_processed"), spark.read.parquet(f"{lake}/silver/readings")
+    assert len([f for f in table.inputFiles()]) <= 6
+    time = "period__datetime_from__utc"
+    for ask in (
+        lambda df: latest(df, ["sensor_id"], time, []),
+        lambda df: dedup_newest(df, KEYS, ["_load_time"], []),
+        lambda df: df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"),
+    ):
+        assert "Exchange" not in shown_plan(ask(table)) and "Exchange" in shown_plan(ask(silver))
+        assert tuples(ask(table).select(*KEYS)) == tuples(ask(silver).select(*KEYS))
+    # one sensor with most of the rows: the table keeps its days
+    append(spark, lake, [(7, at("2026-03-01") + timedelta(minutes=n), 1.0, "pm25", 1) for n in range(900)], 1)
+    refine(spark, lake, ["readings"], sources=[SOURCE])
+    load_silver(spark, lake, ["readings"], sources=[SOURCE], buckets=6)
+    assert "Exchange" in shown_plan(latest(spark.table("readings_processed"), ["sensor_id"], time, []))
+    assert spark.table("readings_processed").count() == spark.read.parquet(f"{lake}/silver/readings").count()

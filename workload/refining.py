@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import datetime, timedelta
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
 from skyair.functions.times import as_instant
 from skyair.operators.aggregation import activity_partials, merged_activity, merged_summary
 from skyair.operators.joining import parse_boxes, tag_regions
+from skyair.operators.selection import latest
 from skyair.plans.landing import land_readings
 from skyair.plans.medallion import READINGS, refine, refine_new
 from skyair.plans.refining import read_rejects, stored_audit
@@ -17,7 +19,7 @@ from skyair.plans.summaries import read_partials, refresh
 from skyair.schemas import READINGS as READINGS_SCHEMA
 from skyair.sources.readers import read_parquet_declared
 from skyair.sources.scratch import shared_folder
-from skyair.sources.writers import append_load, write_snapshot
+from skyair.sources.writers import append_load, load_table, write_snapshot
 from skyair.streaming.silver import maintain_silver, read_silver
 from workload.plans import TARGETS
 from workload.registry import query, rounded
@@ -251,3 +253,22 @@ def weekly_aircraft(spark, sf_dir):
     both = weekly.join(exact, ["country", "week"], "full")
     near = F.abs(F.col("flight_count") - F.col("n")) <= 0.05 * F.col("n") + 0.5
     return rounded(both.select("country", "week", near.alias("within_bound"), "avg_altitude"), "avg_altitude", places=4)
+
+
+@query(
+    "s6_bucketed_table",
+    """
+    SELECT o_custkey AS icao24, CAST(max(o_orderdate) AS VARCHAR) AS observed_at, count(*) AS row_count,
+           CAST(count(*) - count(DISTINCT o_orderdate) AS BIGINT) AS surplus
+    FROM orders GROUP BY o_custkey
+    """,
+)
+def bucketed(spark, sf_dir):
+    """A table dealt by aircraft: the latest state (W1) and repeated keys (Q3) of each, without a shuffle."""
+    folder, name = shared_folder(spark, "bucketed-table"), f"t{uuid4().hex[:12]}_flights"
+    planes = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("icao24"), F.col("o_orderdate").alias("observed_at"))
+    load_table(planes, name, options={"path": folder}, bucket_by=["icao24"], buckets=8)
+    stored = spark.table(name)
+    times = stored.groupBy("icao24", "observed_at").agg(F.count(F.lit(1)).alias("n"))
+    counts = times.groupBy("icao24").agg(F.sum("n").alias("row_count"), (F.sum("n") - F.count(F.lit(1))).alias("surplus"))
+    return latest(stored, ["icao24"], "observed_at").join(counts, "icao24")
