@@ -114,7 +114,8 @@ def maintain_silver(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         name = f"{batches.query(spark)}-{batch_id}"
-        behind = F.col(time) < F.timestamp_millis(F.lit(watermark_of(spark, checkpoint, batch_id)))
+        # State lets a row at the watermark go too. A row that it did judge may be merged as well: it is known then.
+        behind = F.col(time) <= F.timestamp_millis(F.lit(watermark_of(spark, checkpoint, batch_id)))
         bad = F.col(REASON) != KEPT if validate_first else F.lit(False)
         reason = F.when(~F.col(_RAW) | bad, F.col(REASON)).when(behind, LATE)
         routed = batch.withColumn(REASON, reason).filter(F.col(REASON).isNotNull()).drop(_RAW)

@@ -236,16 +236,20 @@ def test_silver_takes_late_rows_in(spark, feed, paths, rules, validate_first, sa
 def test_late_rows_are_merged_into_their_days_only(spark, feed, paths, rules):
     source = feed()
     source.add([("a", at("2026-01-0%d" % d), 1.0, d) for d in range(1, 8)])
+    source.add([("a", at("2026-01-07T00:30:00"), 1.0, 10)])  # state drops by the watermark of one batch before
     source.add([("a", at("2026-01-02"), 5.0, 20), ("b", at("2026-01-02"), 5.0, 21)])
     run(maintain_silver(source.stream(), paths("silver"), paths("cp"), KEYS, "observed_at", "1 hour", seconds=None, **rules))
     assert ("b", 21) in tuples(read_silver(spark, paths("silver")), "icao24", "arrival")
-    name = f"{query_id(spark, paths('cp'))}-1"
+    name = f"{query_id(spark, paths('cp'))}-2"
     assert touched_days(spark, paths("silver"), name) == ["event_date=2026-01-02"]
     # merging once more gives the same rows, and reads the files of that day alone
     again = merge_late(spark, paths("silver"), name, KEYS, [], **rules)
     assert tuples(again, "icao24", "arrival") == [("b", 21)]
     assert again.inputFiles() and all("event_date=2026-01-02" in f for f in again.inputFiles())
     assert merge_late(spark, paths("silver"), f"{name}9", KEYS, [], **rules) is None
+    source.add([("c", at("2026-01-06T23:30:00"), 1.0, 30)])  # at the watermark, which state takes for late
+    run(maintain_silver(source.stream(), paths("silver"), paths("cp"), KEYS, "observed_at", "1 hour", seconds=None, **rules))
+    assert ("c", 30) in tuples(read_silver(spark, paths("silver")), "icao24", "arrival")
     assert watermark_of(spark, paths("cp"), 1) == (at("2026-01-06T23:00:00") - at("1970-01-01")).total_seconds() * 1000
 
 
