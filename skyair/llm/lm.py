@@ -382,10 +382,11 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
                 coded = contexts.coded(context, symbol).astype(np.float64)
                 met = contexts.whole(context)
                 if len(grams):
-                    place = np.minimum(np.searchsorted(grams, item), len(grams) - 1)
-                    listed = grams[place] == item
-                    coded[listed] = grams_log[place[listed]]
-                    met |= listed
+                    open_ = np.flatnonzero(~met)
+                    place = np.minimum(np.searchsorted(grams, item[open_]), len(grams) - 1)
+                    listed = grams[place] == item[open_]
+                    coded[open_[listed]] = grams_log[place[listed]]
+                    met[open_[listed]] = True
                 code_length = np.bincount(owner[met], weights=coded[met], minlength=n) + 0.0
                 rare_gram, gram_owner = item[~met], owner[~met]
                 data, offsets = buffer_of(part.column("text"))
