@@ -30,7 +30,7 @@ from skyair.operators.cleaning import (
     audit_of,
     route,
 )
-from skyair.sources.folders import add_files, exists, move, publish, recover, remove
+from skyair.sources.folders import add_files, exists, matching, move, publish, recover, remove
 from skyair.sources.readers import CORRUPT, optional, read_parquet_files
 from skyair.sources.writers import write_snapshot, write_staged
 
@@ -125,8 +125,6 @@ def survivors(spark: SparkSession, lake: str, name: str, days: list) -> DataFram
         if rows is None:
             continue
         if EVENT_DATE not in rows.columns:
-            if path == silver and not rows.isEmpty():
-                raise ValueError(f"{silver} is not partitioned by {EVENT_DATE}")
             continue
         found.append(rows.filter(touched & part).drop(REASON).withColumn(EVENT_DATE, day))
     if not found:
@@ -156,6 +154,9 @@ def refine_new_files(
     new = read(files)
     new = new.withColumn(EVENT_DATE, utc_day(new, time))
     days = [row[0] for row in new.select(EVENT_DATE).distinct().collect()]  # calendar days, not rows
+    flat = matching(spark, f"{silver}/*.parquet") if done else []
+    if flat and not read_parquet_files(spark, flat).isEmpty():
+        raise ValueError(f"{silver} is not in folders by {EVENT_DATE}: refine all of it by day first")
     # Without a list of files silver is of unknown origin: all of it is built anew.
     old = survivors(spark, lake, name, days) if done else None
     if not done:

@@ -146,6 +146,18 @@ def test_a_run_that_dies_is_finished_by_the_next(spark, lake, monkeypatch, steps
     assert state(spark, lake) == found
 
 
+def test_silver_without_days_takes_no_incremental_run(spark, lake):
+    append(spark, lake, random_rows(random.Random(2), 40, range(2)), 0)
+    refine(spark, lake, ["readings"], by_day=False, sources=[SOURCE])
+    assert refine_new(spark, lake, sources=[SOURCE]) == []
+    append(spark, lake, random_rows(random.Random(3), 40, range(2)), 1)
+    with pytest.raises(ValueError, match="by day first"):
+        refine_new(spark, lake, sources=[SOURCE])
+    refine(spark, lake, ["readings"], sources=[SOURCE])
+    append(spark, lake, random_rows(random.Random(5), 40, range(2)), 2)
+    assert refine_new(spark, lake, sources=[SOURCE]) == ["readings"]
+
+
 def test_summaries_follow_the_days_that_change(spark, lake):
     rng = random.Random(6)
     plain = lambda: tuples(daily_summary(spark.read.parquet(f"{lake}/silver/readings"), by=["location_id", "parameter"]))
