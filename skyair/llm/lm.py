@@ -35,7 +35,7 @@ from skyair.sources.folders import remove
 
 END = 256
 SYMBOLS = 257
-#: Longest context in bytes. A sixth byte triples the counts and gains little (figures in the README).
+#: Longest context in bytes. A sixth byte triples the counts.
 ORDER = 5
 #: Contexts of each length; the context of length k is the remainder of the longest one modulo CONTEXTS[k].
 CONTEXTS = tuple(256**k for k in range(ORDER + 1))
