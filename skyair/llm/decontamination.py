@@ -24,7 +24,8 @@ WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 20
 BITS = 64
-#: Item shingles up to this many rows of 12 bytes are broadcast; beyond that the join is left to the engine.
+#: Item shingles, and hashes of texts with a hit, are broadcast up to this many rows of 12 bytes; beyond that the
+#: join is left to the engine.
 BROADCAST_SHINGLES = 500_000
 
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -106,7 +107,10 @@ def contaminated(
     at = texts.select(F.xxhash64("text").alias("hash"), F.posexplode(shingles(F.col("text"))).alias("at", "shingle"))
     hits = at.join(starts, "shingle").groupBy("hash").agg(F.collect_set(F.struct("at", "size")).alias("hits"))
     hits = stored(hits, "benchmark-hits")  # next to a plain scan the engine can split a large group of copies
-    held = texts.withColumn("hash", F.xxhash64("text")).join(hits, "hash").distinct()
+    held = texts.withColumn("hash", F.xxhash64("text"))
+    if hits.count() <= BROADCAST_SHINGLES:  # then only texts that hold a hit are shuffled
+        held = held.join(F.broadcast(hits.select("hash")), "hash", "left_semi")
+    held = held.join(hits, "hash").distinct()
     held = held.select("key", "hits", shingles(F.col("text")).alias("all"))
     last = lambda size: F.greatest(F.size("all") - size, F.lit(0))
     begins = F.array_distinct(
