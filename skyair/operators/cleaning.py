@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyair.operators import skew
 from skyair.operators.ranking import TASK_SALTS, newest_first, oldest_first, top_per_key
 
 REASON = "reason"
 KEPT, DUPLICATE, MISSING, OUT_OF_RANGE, CORRUPT_LINE = "kept", "duplicate", "missing", "out_of_range", "corrupt"
 _FAULT, _LEADS, _SALT, _RANK = "__fault", "__leads", "__salt", "__rank"
+#: Keys are counted by this many hashes, to see whether any can be hot.
+KEY_HASHES = 1 << 14
 
 
 class MissingColumns(ValueError):
@@ -116,6 +119,17 @@ def fault_of(df: DataFrame, required: Sequence[str], valid: Column | None = None
     return fault if valid is None else fault.when(~valid, OUT_OF_RANGE)
 
 
+def may_have_hot_keys(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a key may hold ``skew.HOT_ROWS`` rows or more; False is certain.
+
+    Rows are counted by a hash of the key, so no key has more rows than its hash. The counts combine on the map
+    side: a task sends one number per hash, and only the key columns are read.
+    """
+    hashed = F.pmod(F.xxhash64(*keys), F.lit(KEY_HASHES)).alias("hash")
+    counts = df.groupBy(hashed).agg(F.count(F.lit(1)).alias("rows"))
+    return not counts.filter(F.col("rows") >= skew.HOT_ROWS).isEmpty()
+
+
 def route(
     df: DataFrame,
     keys: Sequence[str] | None,
@@ -131,8 +145,9 @@ def route(
 
     The rows that are ``kept`` are those of ``clean``; all others say why they are not: ``duplicate``,
     ``missing``, ``out_of_range``, or ``corrupt`` where the column of that name holds a line's text. Such
-    lines have no key and take no part in the dedup. As no row may be pruned, the copies of a key are
-    ranked per input partition first, and only its best row of each meets the others.
+    lines have no key and take no part in the dedup. No row may be pruned. Where a key may be hot, its copies
+    are ranked per input partition first, and only its best row of each meets the others; one small job finds
+    out. Otherwise the rows are shuffled once.
     """
     _check_columns(df, [*(keys or ()), *required, *newest])
     keys = list(keys) if keys else [name for name in df.columns if name != corrupt]
@@ -147,7 +162,8 @@ def route(
         window = Window.partitionBy(*keys, _LEADS, salt).orderBy(*(order or [F.lit(0)]))
         return rows.withColumn(_RANK, F.row_number().over(window))
 
-    rows = ranked(rows, F.col(_SALT)).withColumn(_LEADS, F.col(_LEADS) & (F.col(_RANK) == 1))
+    if may_have_hot_keys(df, keys):
+        rows = ranked(rows, F.col(_SALT)).withColumn(_LEADS, F.col(_LEADS) & (F.col(_RANK) == 1))
     rows = ranked(rows, F.when(~F.col(_LEADS), F.col(_SALT)))
     survives = F.col(_LEADS) & (F.col(_RANK) == 1)
     reason = F.when(survives, F.coalesce(F.col(_FAULT), F.lit(KEPT))).when(competes, DUPLICATE).otherwise(F.col(_FAULT))

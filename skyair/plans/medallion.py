@@ -16,7 +16,7 @@ from skyair.operators.cleaning import audit
 from skyair.operators.quality import load_checks, require_schema
 from skyair.plans.models import GROUPS, build_models, default_models
 from skyair.plans.refining import EVENT_DATE, refine_new_files, refine_whole
-from skyair.sources.folders import recover
+from skyair.sources.folders import matching, recover
 from skyair.sources.readers import CORRUPT, Paths, optional, read_json_lines, read_parquet_declared, read_parquet_files
 from skyair.sources.writers import evenly_keyed, load_table
 
@@ -186,7 +186,8 @@ def load_silver(
 
     With ``buckets`` a table is dealt by its entity (sensor, aircraft) instead of by day, so that latest rows,
     newest rows and duplicate keys need no shuffle. Where one entity has too large a share of the rows for
-    even buckets, the table keeps its days.
+    even buckets, the table keeps its days. Silver that is not in day folders (``refine`` without ``by_day``)
+    is loaded as it lies: by day its table would be the crumbs that silver was spared.
     """
     loaded = {}
     for source in _chosen(names, sources):
@@ -203,7 +204,7 @@ def load_silver(
         entity = list(source.keys[:1])
         if buckets and evenly_keyed(silver, entity, buckets):
             save(silver, table, bucket_by=entity, buckets=buckets)
-        elif EVENT_DATE in silver.columns:
+        elif EVENT_DATE in silver.columns and matching(spark, f"{path}/{EVENT_DATE}=*"):
             save(silver, table, partition_by=[EVENT_DATE])
         else:
             save(silver, table)

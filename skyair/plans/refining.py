@@ -55,7 +55,7 @@ def _names(spark: SparkSession, files: Iterable[str]) -> DataFrame:
 
 
 def _write_routed(routed: DataFrame, path: str, partition_by: list[str]) -> None:
-    write_staged(routed, path, partition_by)
+    write_staged(routed, path, partition_by, balanced=EVENT_DATE in partition_by)  # reasons are few, days are not
     kept = f"{path}/{REASON}={KEPT}"
     if not exists(routed.sparkSession, kept):
         routed.drop(*partition_by).limit(0).write.parquet(kept)

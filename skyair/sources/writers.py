@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,13 +31,18 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     publish(df.sparkSession, staged, path)
 
 
-def write_staged(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """The files of a snapshot, which replace whatever an earlier job left at ``path``."""
+def write_staged(df: DataFrame, path: str, partition_by: Sequence[str] = (), balanced: bool = True) -> None:
+    """The files of a snapshot, which replace whatever an earlier job left at ``path``.
+
+    Where ``partition_by`` has a handful of values, ``balanced=False`` saves the shuffle: a task then writes one
+    file for each of them.
+    """
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return
-    rows = df.hint("rebalance", *map(F.col, partition_by)).write.mode("overwrite").partitionBy(*partition_by)
-    rows.option("partitionOverwriteMode", "static").parquet(path)
+    rows = df.hint("rebalance", *map(F.col, partition_by)) if balanced else df
+    writer = rows.write.mode("overwrite").partitionBy(*partition_by)
+    writer.option("partitionOverwriteMode", "static").parquet(path)
     if df.sparkSession.read.schema(df.schema).parquet(path).isEmpty():
         # A partitioned write of no rows leaves no file, so nothing that could be read as a table.
         df.limit(0).write.mode("overwrite").parquet(path)
@@ -82,11 +88,13 @@ def evenly_keyed(df: DataFrame, keys: Sequence[str], buckets: int) -> bool:
 def with_lineage(df: DataFrame, load_id: str, loaded_at: datetime | None = None) -> DataFrame:
     """Stamp rows with the load's id, its time and a unique row id.
 
-    The time (default: now) tells which load is newer; the id is only lineage, and need not sort.
+    The time (default: now) tells which load is newer; the id is only lineage, and need not sort. A row id is
+    the load's own token and the row's number, which stays the same in a task that is run again and is stored in
+    a third of the room of a random id per row.
     """
     moment = F.lit(loaded_at) if loaded_at else F.current_timestamp()
     stamped = df.withColumn("_load_id", F.lit(load_id)).withColumn("_load_time", moment.cast("timestamp"))
-    return stamped.withColumn("_row_id", F.uuid())
+    return stamped.withColumn("_row_id", F.concat_ws("-", F.lit(uuid4().hex), F.monotonically_increasing_id().cast("string")))
 
 
 def append_load(df: DataFrame, path: str, load_id: str, loaded_at: datetime | None = None) -> None:
