@@ -30,6 +30,8 @@ from skyair.streaming.landing import Batches, _triggered
 LATE = "late"
 EVENT_DATE, BATCH = "event_date", "batch"
 _RAW, _SALT = "__raw", "__salt"
+#: Into how many files a batch deals the rows of a day and reason at most, and so how many tasks share them.
+DAY_FILES = 16
 #: What counts as known when late rows are merged. A key whose first copy was bad stays lost, as in C6.
 _KNOWN = (KEPT, MISSING, OUT_OF_RANGE)
 
@@ -41,6 +43,9 @@ def watermark_of(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
 
 
 def _write(rows: DataFrame, path: str, batch: str) -> None:
+    # A day's rows come out of every state partition: dealt by day, they are a few files and not one of each.
+    # Adaptive execution, which would rebalance them, is off in the session of a stateful stream.
+    rows = rows.withColumn(_SALT, spread(rows, DAY_FILES)).repartition(REASON, EVENT_DATE, _SALT).drop(_SALT)
     labelled = rows.withColumn(BATCH, F.lit(batch))
     writer = labelled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(REASON, EVENT_DATE, BATCH).parquet(path)

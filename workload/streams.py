@@ -73,15 +73,25 @@ def t4(spark, sf_dir):
     return both.groupBy("event_id", "quarantined").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+ROWS_PER_FILE = 500_000
+
+
 def in_batches(spark, sf_dir, name, order, count):
-    """Events written in ``count`` files by ``order``, and a stream that takes one file per batch."""
+    """Events written in ``count`` loads by ``order``, and a stream that takes one load per batch.
+
+    All loads have the same number of files, one per ROWS_PER_FILE rows of the smallest load.
+    """
     events = table(spark, sf_dir, "events")
     folder = f"{shared_folder(spark, name)}/input"
     ranked = events.withColumn("arrival", F.pmod(order, F.lit(count)).cast("bigint"))
+    sizes = dict(ranked.groupBy("arrival").count().collect())  # one row per load
+    files = max(1, min(sizes.get(k, 0) for k in range(count)) // ROWS_PER_FILE)
     for k in range(count):
-        ranked.filter(F.col("arrival") == k).coalesce(1).write.mode("append").parquet(folder)
+        load = ranked.filter(F.col("arrival") == k)
+        load = load.coalesce(1) if files == 1 else load.repartition(files)
+        load.write.mode("append").parquet(folder)
     schema = ranked.schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.parquet").parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", "*.parquet").parquet(folder)
     return spark.read.schema(schema).parquet(folder), stream, folder.removesuffix("/input")
 
 
