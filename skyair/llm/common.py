@@ -53,6 +53,7 @@ Batches = Iterator[pa.RecordBatch]
 
 def give_back() -> None:
     """Return freed memory to the system. Workers are reused: an idle one would hold its last task's peak."""
+    _powers.update(_NO_POWERS)
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -102,12 +103,13 @@ _RANDOM = np.random.default_rng(20_011)
 _BYTE_CODES = _RANDOM.integers(0, 2**64, size=256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_NO_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_powers: dict[str, np.ndarray] = dict(_NO_POWERS)  # grows with the longest slice of a task
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers["up"]) < n:
-        size = max(n, CHUNK_BYTES + CHUNK_BYTES // 4)
+        size = n + n // 4
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             table = np.full(size, base, dtype=np.uint64)
             table[0] = 1

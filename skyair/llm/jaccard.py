@@ -38,6 +38,8 @@ TOKENS = 128
 DEPTH = 6
 BUCKET = 256
 BLOCK = 512
+#: Bytes of text whose shingles are made at a time; their arrays take up to fifty times as much.
+SLICE_BYTES = 1 << 18
 #: Size of the filter that keeps texts outside all groups from the shuffle, whatever the input.
 FILTER_BITS = 1 << 26
 
@@ -97,7 +99,7 @@ def _signatures(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, limit=SLICE_BYTES):
                 n = part.num_rows
                 found, whose = shingle_sets(part.column("text"))
                 count = np.bincount(whose, minlength=n)
@@ -315,7 +317,7 @@ def _exact(df: DataFrame, groups: DataFrame, key: str, text: str, similarity: fl
             batch = batch.filter(batch.column("node").is_valid())
             nodes = _bit_of(batch.column("node").to_numpy())
             batch = batch.take(pa.array(np.flatnonzero(bits[nodes >> 6] >> (nodes & 63).astype(np.uint64) & np.uint64(1))))
-            for part in chunks(batch):
+            for part in chunks(batch, limit=SLICE_BYTES):
                 found, whose = shingle_sets(part.column("text"))
                 edges = np.searchsorted(whose, np.arange(part.num_rows + 1))
                 coded = [found[a:b].tobytes() for a, b in zip(edges, edges[1:])]

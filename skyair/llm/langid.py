@@ -121,7 +121,7 @@ def train(df: DataFrame, label: str = "lang", text: str = "text", most: int = MO
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((len(names), DIMENSIONS))
         for batch in batches:
-            for part in chunks(batch, limit=1 << 19):
+            for part in chunks(batch, limit=1 << 17):
                 grams, owner = _grams(part.column("text"))
                 labels = np.array([number[x] for x in part.column("label").to_pylist()])
                 used, own = np.unique(labels[owner], return_inverse=True)

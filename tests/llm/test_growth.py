@@ -1,7 +1,16 @@
 """What must not grow faster than the input, in the operators on texts."""
 
-from skyair.llm import decontamination
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 from tests.helpers import shown_plan, tuples
+from tests.llm.test_operators import table
+
+import corpus_pipeline
+from skyair.llm import common, decontamination, jaccard
 
 
 def test_only_texts_with_a_hit_are_shuffled(spark, monkeypatch):
@@ -19,3 +28,47 @@ def test_only_texts_with_a_hit_are_shuffled(spark, monkeypatch):
         assert rows == tuples(left_to_the_engine) == [(1, 7, 1, 1.0)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def largest_batch(docs):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+
+    return docs.mapInArrow(sizes, "size bigint").agg(F.max("size")).first()[0]
+
+
+@pytest.mark.parametrize("name", ["language_id", "near_duplicates", "sentencepiece"])
+def test_a_stage_sends_its_texts_in_small_batches(spark, name):
+    few = table(spark, [(1, "a few words of a text", "en"), (2, None, None)])
+    many = spark.range(0, 4_000, 1, 1).select("id", F.repeat(F.lit("word "), 800).alias("text"))
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, few, "").collect()
+        assert largest_batch(many) <= corpus_pipeline.BATCH_BYTES + 10_000
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_the_pipeline_leaves_the_session_as_it_was(spark, tmp_path):
+    table(spark, [(1, "a few words of a text", "en"), (2, None, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "an item")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "33m")
+    try:
+        corpus_pipeline.run(spark, str(tmp_path))
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "33m"
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_shingles_take_little_memory_and_leave_none():
+    words = np.random.default_rng(3).integers(0, 9_000, size=800_000)
+    texts = [" ".join(map(str, words[k : k + 500])) for k in range(0, len(words), 500)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    common.give_back()
+    tracemalloc.start()
+    for part in common.chunks(batch, limit=jaccard.SLICE_BYTES):
+        jaccard.shingle_sets(part.column("text"))
+    common.give_back()
+    left, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 24 << 20 and left < 2 << 20
