@@ -1,6 +1,9 @@
 """What must not grow faster than the input, in the operators on texts."""
 
+import random
+import sys
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +13,7 @@ from tests.helpers import shown_plan, tuples
 from tests.llm.test_operators import table
 
 import corpus_pipeline
-from skyair.llm import common, decontamination, jaccard
+from skyair.llm import common, decontamination, jaccard, pieces
 
 
 def test_only_texts_with_a_hit_are_shuffled(spark, monkeypatch):
@@ -72,3 +75,53 @@ def test_shingles_take_little_memory_and_leave_none():
     left, most = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert most < 24 << 20 and left < 2 << 20
+
+
+def made_up_words(seed, n):
+    letters = np.random.default_rng(seed).choice(list("etaoinshrdlu"), size=(n, 9))
+    return ["".join(w) for w in letters]
+
+
+def test_new_words_are_encoded_without_a_call_for_every_character():
+    coder, text, calls = pieces.Coder(pieces.load_vocabulary()), " ".join(made_up_words(4, 20_000)), Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        ids = coder.encode(text)
+    finally:
+        sys.setprofile(None)
+    assert coder.decode(ids) == text
+    assert calls["call"] + calls["c_call"] < len(text)
+
+
+def test_frequent_words_stay_when_the_cache_is_full(monkeypatch):
+    monkeypatch.setattr(pieces, "_CACHED_BYTES", 400_000)
+    coder, looked_up = pieces.Coder(pieces.load_vocabulary()), Counter()
+    one, some = coder.best_path, getattr(coder, "best_paths", None)
+    coder.best_path = lambda stretch: looked_up.update([stretch]) or one(stretch)
+    coder.best_paths = lambda stretches: looked_up.update(stretches) or some(stretches)
+    words = made_up_words(5, 20_000)
+    for k in range(0, len(words), 100):
+        coder.encode(" ".join(["frequent", *words[k : k + 100]]))
+    assert looked_up["▁" + words[150]] == 1 and looked_up["▁frequent"] == 1
+    # What is kept is bounded: some hundred of 20,000 words, not all.
+    assert len(coder.recent) + len(coder.older) < 5_000
+
+
+def test_paths_taken_together_are_those_taken_alone(monkeypatch):
+    rng = random.Random(6)
+    plain = ["a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "cab", "bcab", "é", "x" * 20, "\n", "c▁a", "日本"]
+    for trial in range(40):
+        own = ["▁", *rng.sample(plain, rng.randint(0, len(plain)))]
+        if trial % 2:
+            own = [p for p in own if p not in ("\n", "c▁a")]
+        monkeypatch.setattr(pieces, "_COMMON", rng.choice([1, 3, 64]))
+        monkeypatch.setattr(pieces, "_GROUP", rng.choice([5, 1 << 19]))
+        monkeypatch.setattr(pieces, "_BLOCK", rng.choice([60, 1 << 19]))
+        every = ["<unk>", *(f"<0x{b:02X}>" for b in range(256)), *own]
+        scores = [0.0] * 257 + [-float(rng.randint(0, 3)) for _ in own]  # many ties
+        coder = pieces.Coder(pieces.Vocabulary(every, scores, list(range(1, 257)), [False] * 257 + [True] * len(own)))
+        texts = ["".join(rng.choices(["a", "b", "c", " ", "▁", "é", "\n", "日本", "🙂", "x" * 21], k=rng.randint(0, 30))) for _ in range(30)]
+        for text, path in zip(texts, coder.encode_all(texts)):
+            assert coder.decode(coder.encode(text)) == text and coder.proves(path, text)
+        short = sorted((s for s in set(texts) if s), key=len, reverse=True)
+        assert coder.best_paths(short) == [coder.best_path(s) for s in short]
